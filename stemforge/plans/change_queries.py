@@ -76,15 +76,15 @@ def p4_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _WIDE = "".join(chr(0xFF01 + i) for i in range(94)) + "　"
 _NARROW = "".join(chr(0x21 + i) for i in range(94)).replace("'", "''") + " "
-_KEY = f"nullif(lower(regexp_replace(translate(X, '{_WIDE}', '{_NARROW}'), '^[\\s\\x{{a0}}]+|[\\s\\x{{a0}}]+$', '', 'g')), '')"
+_KEY = f"nullif(lower(regexp_replace(translate(@@, '{_WIDE}', '{_NARROW}'), '^[\\s\\x{{a0}}]+|[\\s\\x{{a0}}]+$', '', 'g')), '')"
 _P4 = f"""WITH refs AS (
-  SELECT 'bank' AS src_table, row_id AS src_id, 'f' AS target, {_KEY.replace("X", "figure")} AS k, loaded_at AS t_at FROM bank
-  UNION ALL SELECT 'explanations', expl_id, 'b', {_KEY.replace("X", "qid")}, merged_at FROM explanations
-  UNION ALL SELECT DISTINCT 'answer_events', event_id, 'b', {_KEY.replace("X", "qid")}, ts FROM answer_events),
+  SELECT 'bank' AS src_table, row_id AS src_id, 'f' AS target, {_KEY.replace("@@", "figure")} AS k, loaded_at AS t_at FROM bank
+  UNION ALL SELECT 'explanations', expl_id, 'b', {_KEY.replace("@@", "qid")}, merged_at FROM explanations
+  UNION ALL SELECT DISTINCT 'answer_events', event_id, 'b', {_KEY.replace("@@", "qid")}, ts FROM answer_events),
 targets AS (
   SELECT target, k, min(born) AS born, CASE WHEN count(*) = count(gone) THEN max(gone) END AS gone FROM (
-    SELECT 'b' AS target, {_KEY.replace("X", "qid")} AS k, loaded_at AS born, removed_at AS gone FROM bank
-    UNION ALL SELECT 'f', {_KEY.replace("X", "filename")}, rendered_at, deleted_at FROM figure_files) t GROUP BY target, k),
+    SELECT 'b' AS target, {_KEY.replace("@@", "qid")} AS k, loaded_at AS born, removed_at AS gone FROM bank
+    UNION ALL SELECT 'f', {_KEY.replace("@@", "filename")}, rendered_at, deleted_at FROM figure_files) t GROUP BY target, k),
 found AS (
   SELECT r.*, CASE WHEN t.k IS NULL THEN 'missing' WHEN r.t_at < t.born THEN 'late' WHEN t.gone <= r.t_at THEN 'deleted' END AS reason
   FROM refs r LEFT JOIN targets t ON r.target = t.target AND r.k = t.k WHERE r.k IS NOT NULL)
