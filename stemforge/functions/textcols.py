@@ -73,7 +73,7 @@ def scaled_number(value: Column, scale: Column) -> Column:
 def visible_text(c: Column) -> Column:
     """HTML without scripts, styles and tags; blanks collapsed."""
     c = F.regexp_replace(c, r"(?is)<(script|style|noscript)\b.*?</\1>", " ")
-    return F.trim(F.regexp_replace(F.regexp_replace(c, r"(?s)<[^>]*>", "\n"), r"[ \t]*\n\s*", "\n"))
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(c, r"(?s)<[^>]*>", "\n"), r"[ \t]*\n\s*", "\n"), r"^\s+|\s+$", "")
 
 
 def prompt_digest(c: Column, mask: str | None = None) -> Column:
