@@ -36,7 +36,7 @@ CONFUSIONS = {
     "囚": "因", "己": "已", "末": "未", "士": "土", "人": "入", "曰": "日", "千": "干", "大": "太", "天": "夭", "候": "侯", "析": "折",
     "rn": "m", "cl": "d", "vv": "w", "li": "h", "h": "ti", "c": "e", "1": "l", "0": "o", "5": "s", "l": "1", "O": "0", "o": "0", "S": "5", "B": "8", "I": "1", "8": "B",
 }
-PRIOR_RATE = 2e-4
+PRIOR_RATE = 1e-3
 #: The channel's rate is taken this many times when counts are freed of noise.
 SAFETY = 3.0
 #: Share of a word's occurrences that noise may have spoilt in one way, at least.
