@@ -47,7 +47,7 @@ def answer_pairs(cells: DataFrame) -> DataFrame:
 def valid_pdf(content: Column) -> Column:
     """Magic bytes at the head, the end mark near the tail, and more than a kilobyte."""
     head = F.substring(content, 1, 4) == F.unhex(F.lit("25504446"))
-    return head & (F.length(content) > 1024) & F.decode(F.expr("substring({0}, -32, 32)".format("content")), "ISO-8859-1").contains("%%EOF")
+    return head & (F.length(content) > 1024) & F.contains(F.hex(F.substring(content, -32, 32)), F.lit("2525454F46"))
 
 
 def links(pages: DataFrame, base: str) -> DataFrame:

@@ -48,3 +48,15 @@ def test_streams(spark, tmp_path):
     q = upsert_stream(stream, str(tmp_path / "out"), "k", ["v"], str(tmp_path / "c2"))
     q.awaitTermination(120)
     assert sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).select("k", "v").collect()) == [("a", 1), ("b", 2)]
+
+
+def test_binary_files(spark, tmp_path):
+    (tmp_path / "a.pdf").write_bytes(b"%PDF" + b"x" * 2000 + b"%%EOF\n")
+    (tmp_path / "b.pdf").write_bytes(b"%PDF" + b"x" * 2000)
+    (tmp_path / "c.pdf").write_bytes(b"<html>" + b"x" * 2000 + b"%%EOF")
+    files = spark.read.format("binaryFile").load(str(tmp_path))
+    ok = {r["path"][-5:]: r["v"] for r in files.select("path", landing.valid_pdf(F.col("content")).alias("v")).collect()}
+    assert ok == {"a.pdf": True, "b.pdf": False, "c.pdf": False}
+    names = spark.createDataFrame([("a.pdf",), ("a.pdf",), ("zz",)], "name string")
+    uris = {r["name"]: r["uri"] for r in landing.data_uris(files, names).collect()}
+    assert uris["zz"] is None and uris["a.pdf"].startswith("data:image/png;base64,JVBERnh4") and "\r" not in uris["a.pdf"]
