@@ -135,8 +135,21 @@ def wrong_letters(options: Column, answer: Column) -> Column:
     return F.array_sort(F.array_except(F.map_keys(options), F.filter(F.split(answer, ""), lambda x: x != "")))
 
 
+#: Letters in the forms that option letters are written in (full width, Greek, Cyrillic), and A to J.
+LETTERS_SEEN = "ＡＢＣＤＥＦＧＨＩＪΑΒΕΗΙАВСЕНІЈ"
+LETTERS = "ABCDEFGHIJABEHIABCEHIJ"
+#: A letter in brackets, or one that heads a line.
+DISCUSSED = r"([(（][ 　]*[A-J][ 　]*[)）]|(?:^|[\r\n])[ 　]*[A-J][ 　]*[：:])"
+
+
+def explanation_body(c: Column) -> Column:
+    """Without the first line, which names the answer, and the last section, which lists the points."""
+    return F.regexp_replace(F.regexp_replace(c, r"^[ 　\r\n]*[^\r\n]+", ""), r"[\r\n][ 　\r\n]*本題考點[：:][\s\S]*$", "")
+
+
 def discussed_letters(c: Column) -> Column:
-    return F.array_sort(F.array_distinct(F.regexp_extract_all(c, F.lit(r"[(（]([A-J])[)）]"), 1)))
+    found = F.regexp_extract_all(F.translate(c, LETTERS_SEEN, LETTERS), F.lit(DISCUSSED), 1)
+    return F.array_sort(F.array_distinct(F.transform(found, lambda x: F.regexp_replace(x, "[^A-J]", ""))))
 
 
 def answer_letters(c: Column) -> Column:

@@ -12,8 +12,9 @@ from stemforge.functions import textcols as tx
 from stemforge.functions.numerals import article_number, chinese_integer
 from stemforge.operators import gates, maintain
 from stemforge.operators.citations import citations, verdicts
+from stemforge.operators.orphans import reference_key
 from stemforge.operators.snapshots import latest_rows
-from stemforge.plans.change_queries import pack_articles, pack_changes
+from stemforge.plans.change_queries import _KEY, pack_articles, pack_changes
 from stemforge.plans.dual import duck_sql
 from stemforge.session import table
 
@@ -123,10 +124,53 @@ def splice(spark, sf_dir):
 
 @query("prd09_letter_coverage", "SELECT qid, array_to_string(list_sort(list_filter(map_keys(options), lambda x: x <> answer)), '') AS wrong FROM <q> q WHERE type = '單選' AND options IS NOT NULL AND length(answer) = 1")
 def letter_coverage(spark, sf_dir):
+    """The letters that each single-choice explanation has to discuss; prd09_letter_faults is the check."""
     q = questions(spark, sf_dir, "type", "options", "answer").where("type = '單選' and options is not null and length(answer) = 1")
     return q.select("qid", F.array_join(tx.wrong_letters(F.col("options"), F.col("answer")), "").alias("wrong"))
 
 
+# Types without options.
+FREE_TYPES = ("非選", "選填", "申論", "計算")
+_SQL_KEY = _KEY.replace("@@", "qid")
+_SQL_LETTERS = "array_to_string(list_sort(list_filter({0}, lambda x: {1})), '')"
+_FAULTS = f"""WITH q AS (
+  SELECT k, type, translate(coalesce(answer, ''), '{tx.LETTERS_SEEN}', '{tx.LETTERS}') AS answer, coalesce(map_keys(options), []) AS opts FROM (
+    SELECT *, {_SQL_KEY} AS k, row_number() OVER (PARTITION BY {_SQL_KEY} ORDER BY loaded_at DESC, row_id DESC) AS n FROM bank) x WHERE n = 1 AND k IS NOT NULL),
+e AS (
+  SELECT expl_id, qid, {_SQL_KEY} AS k, list_distinct(list_transform(regexp_extract_all(regexp_replace(regexp_replace(translate(t, '{tx.LETTERS_SEEN}', '{tx.LETTERS}'),
+    '^[ 　\\r\\n]*[^\\r\\n]+', ''), '[\\r\\n][ 　\\r\\n]*本題考點[：:][\\s\\S]*$', ''), '{tx.DISCUSSED}', 1), lambda x: regexp_replace(x, '[^A-J]', '', 'g'))) AS seen
+  FROM explanations WHERE t IS NOT NULL),
+j AS (
+  SELECT e.*, q.k AS found, q.type, q.opts, list_distinct(regexp_extract_all(q.answer, '[A-J]')) AS ans FROM e LEFT JOIN q ON e.k = q.k),
+f AS (
+  SELECT expl_id, qid, CASE WHEN found IS NULL THEN 'no_question' WHEN len(opts) = 0 THEN 'no_options' WHEN len(ans) = 0 THEN 'no_answer' ELSE 'letters' END AS fault,
+    {_SQL_LETTERS.format("opts", "NOT list_contains(ans, x) AND NOT list_contains(seen, x)")} AS missing,
+    {_SQL_LETTERS.format("seen", "NOT (list_contains(opts, x) AND NOT list_contains(ans, x)) AND NOT (len(ans) > 1 AND list_contains(ans, x))")} AS stray
+  FROM j WHERE found IS NULL OR len(opts) > 0 OR coalesce(type, '') NOT IN {FREE_TYPES})
+SELECT expl_id, qid, fault, CASE WHEN fault = 'letters' THEN missing END AS missing, CASE WHEN fault = 'letters' THEN stray END AS stray FROM f WHERE fault <> 'letters' OR missing <> '' OR stray <> ''"""
+
+
+@query("prd09_letter_faults")
+def letter_faults(spark, sf_dir):
+    """Explanations whose body doesn't discuss the letters it has to: one answer, exactly the wrong options; several, all wrong options and else only answers.
+
+    A question that isn't there, has no options (unless its type has none either) or no answer is a fault of its own. Null texts are join11_coverage's.
+    """
+    bank = table(spark, sf_dir, "bank").select(reference_key(F.col("qid")).alias("k"), "type", "options", "answer", "loaded_at", "row_id").where("k is not null")
+    q = latest_rows(bank, ["k"], ["loaded_at", "row_id"]).select("k", "type", F.coalesce(F.map_keys("options"), F.array().cast("array<string>")).alias("opts"), tx.answer_letters(F.translate("answer", tx.LETTERS_SEEN, tx.LETTERS)).alias("ans"), F.lit(True).alias("found"))
+    e = table(spark, sf_dir, "explanations").where("t is not null").select("expl_id", "qid", reference_key(F.col("qid")).alias("k"), tx.discussed_letters(tx.explanation_body(F.col("t"))).alias("seen"))
+    wrong, ans = F.array_except("opts", "ans"), F.array_distinct("ans")
+    allowed = F.when(F.size(ans) > 1, F.concat(wrong, ans)).otherwise(wrong)
+    letters = lambda x: F.array_join(F.array_sort(x), "")
+    fault = F.when(F.col("found").isNull(), "no_question").when(F.size("opts") == 0, "no_options").when(F.size("ans") == 0, "no_answer").otherwise("letters")
+    j = e.join(q, "k", "left").where(F.col("found").isNull() | (F.size("opts") > 0) | ~F.coalesce("type", F.lit("")).isin(*FREE_TYPES))
+    own = lambda x: F.when(F.col("fault") == "letters", letters(x))
+    return j.withColumn("fault", fault).select("expl_id", "qid", "fault", own(F.array_except(wrong, "seen")).alias("missing"), own(F.array_except("seen", allowed)).alias("stray")).where("fault <> 'letters' or missing <> '' or stray <> ''")
+
+
+SQL["prd09_letter_faults"] = _FAULTS
+
+
 @query("drv05_illegal_letters", "SELECT qid, answer FROM <q> q WHERE answer IS NOT NULL AND rl(answer, '^[A-J]+$') AND options IS NOT NULL AND cardinality(options) > 0 AND len(list_filter(string_split(answer, ''), lambda x: x <> '' AND NOT list_contains(map_keys(options), x))) > 0")
 def illegal_letters(spark, sf_dir):
     q = questions(spark, sf_dir, "options", "answer").where("answer rlike '^[A-J]+$' and size(options) > 0")
