@@ -11,7 +11,7 @@ from stemforge.functions import statistics as st
 from stemforge.functions import textcols as tx
 from stemforge.functions.numerals import article_number, chinese_integer
 from stemforge.operators import gates, maintain
-from stemforge.operators.citations import citations, verdicts
+from stemforge.operators.citations import citations, impacted, plain_name_col, verdicts
 from stemforge.operators.orphans import reference_key
 from stemforge.operators.snapshots import latest_rows
 from stemforge.plans.change_queries import _KEY, pack_articles, pack_changes
@@ -275,7 +275,7 @@ def token_conservation(spark, sf_dir):
 def citation_verdicts(spark, sf_dir):
     """Citations in the law texts of documents, checked against the articles of the newest packs."""
     packs = table(spark, sf_dir, "anchor_packs")
-    law = F.trim(F.regexp_replace("law", r"[\s　]+$", ""))
+    law = plain_name_col(F.col("law"))
     latest = latest_rows(packs.where("pcode is not null").select("pcode", "law", "articles", "pack_date", "loaded_at", "pack_row"), ["pcode"], ["pack_date", "loaded_at", "pack_row"])
     articles = latest.select(law.alias("law"), F.explode(F.map_keys("articles")).alias("k")).select("law", article_number(F.col("k")).alias("art"))
     laws = [r["law"] for r in latest.select(law.alias("law")).distinct().orderBy("law").limit(20_000).collect()]
@@ -285,9 +285,14 @@ def citation_verdicts(spark, sf_dir):
 
 @query("join07_impacted_laws")
 def impacted_laws(spark, sf_dir):
-    """Articles that changed per law and pack date, with what kind: the touched side of the impact join."""
-    changes = pack_changes(table(spark, sf_dir, "anchor_packs")).where("art <> ''")
-    return changes.groupBy("pack_date", "pcode").agg(F.count_if(F.col("change") == "added").alias("added"), F.count_if(F.col("change") == "removed").alias("removed"), F.count_if(F.col("change") == "changed").alias("amended"))
+    """Documents and explanations that cite an article which a pack changed, with the kinds of change and the articles."""
+    packs = table(spark, sf_dir, "anchor_packs")
+    names = packs.where("pcode is not null and law is not null").select(plain_name_col(F.col("law")).alias("law"), "pcode").where("law <> ''").distinct()
+    laws = [r["law"] for r in names.select("law").distinct().collect()]
+    text = table(spark, sf_dir, "documents").select(F.lit("documents").alias("src_table"), F.col("doc_id").alias("src_id"), "text")
+    text = text.unionByName(table(spark, sf_dir, "explanations").select(F.lit("explanations").alias("src_table"), F.col("expl_id").alias("src_id"), F.col("t").alias("text")))
+    cited = text.where("text is not null").select("src_table", "src_id", F.explode(citations(F.col("text"), laws)).alias("c")).select("src_table", "src_id", "c.law", "c.art")
+    return impacted(cited, names, pack_changes(packs).where("art <> ''"))
 
 
 @query("nrm05_article_lengths")

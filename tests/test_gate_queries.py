@@ -1,9 +1,12 @@
 """Gate queries on small tables of their own."""
 
 import datetime as dt
+import random
+import re
 
 import pytest
 
+from stemforge.operators.citations import Names
 from stemforge.plans import registry
 
 DAY = dt.datetime(2024, 1, 1)
@@ -34,3 +37,27 @@ def test_letter_faults(spark, save):
     path = save("explanations", [(i, q, t) for i, (q, t) in enumerate(texts)], "expl_id bigint, qid string, t string")
     got = {r["expl_id"]: (r["fault"], r["missing"], r["stray"]) for r in registry.QUERIES["prd09_letter_faults"](spark, path).collect()}
     assert got == {2: ("letters", "D", ""), 3: ("letters", "", "A"), 5: ("letters", "E", "F"), 7: ("no_options", None, None), 8: ("no_answer", None, None), 9: ("no_question", None, None)}
+
+
+PACK = "pack_row bigint, pack_date date, law string, pcode string, amend_date date, articles map<string,string>, loaded_at timestamp_ntz"
+
+
+def test_impacted_laws(spark, save):
+    one, two = dt.date(2024, 1, 1), dt.date(2024, 4, 1)
+    packs = [(one, "測試​法", "X1", {"第1條": "a", "2": "b", "3": "c", "44-3": "d"}), (two, "測試法 ", "X1", {"1": "a", "2": "B", "４": "e", "44-3": "d"}), (one, "乙法", "X2", {"1": "a"}), (two, "乙法", "X2", {"1": "a"})]
+    save("anchor_packs", [(i, d, law, p, None, a, DAY) for i, (d, law, p, a) in enumerate(packs)], PACK)
+    docs = ["測試法第2條、測試法第 3 條、測試法第2條", "依測試法第４條", "測試法第1條", "乙法第1條", "第2條", None]
+    save("documents", list(enumerate(docs)), "doc_id bigint, text string")
+    path = save("explanations", [(7, "測試​法第3條"), (8, "測試法第44條之3"), (9, None)], "expl_id bigint, t string")
+    got = sorted((str(r["pack_date"]), r["src_table"], r["src_id"], r["kinds"], r["refs"]) for r in registry.QUERIES["join07_impacted_laws"](spark, path).collect())
+    d = "2024-04-01"
+    assert got == [(d, "documents", 0, "amended,removed", "X1 2,X1 3"), (d, "documents", 1, "added", "X1 4"), (d, "explanations", 7, "removed", "X1 3")]
+
+
+def test_names_are_found_as_by_the_alternation():
+    draw = random.Random(7)
+    for _ in range(300):
+        names = {"".join(draw.choices("甲乙法", k=draw.randint(1, 4))) for _ in range(draw.randint(1, 6))}
+        text = "".join(draw.choices("甲乙丙法", k=60))
+        want = [(m.start(), m.end(), m[0]) for m in re.finditer("|".join(sorted(names, key=lambda x: (-len(x), x))), text)]
+        assert [(m.start(), m.end(), m[0]) for m in Names(names).finditer(text)] == want
