@@ -41,6 +41,11 @@ _add("prd26_audit_gaps", "SELECT qid, CAST(CASE WHEN answer IS NULL OR answer =
 _add("drv10_masked_marks", "SELECT row_id, rr(stem, '[①-⑩]', '○') AS masked FROM {bank} WHERE rl(stem, '[①-⑩]')")
 _add("drv22_digit_tails", "SELECT row_id FROM {bank} WHERE figure IS NOT NULL AND rc(right(stem, 30), '[0-9]') >= 5")
 _add("drv11_control_group", "SELECT row_id, rl_ AS odd, n FROM (SELECT row_id, regexp_extract(stem, '([攺攄堍碓宄])', 1) AS rl_, count(*) OVER (PARTITION BY subject, regexp_extract(stem, '([攺攄堍碓宄])', 1)) AS n FROM {bank} WHERE stem IS NOT NULL) x WHERE rl_ <> ''")
+_ODD = "(VALUES ('攺', '改'), ('攄', '據'), ('堍', '境'), ('碓', '確'), ('宄', '先')) c(odd, true_form)"
+_PAPER = "nullif(regexp_extract(qid, '^(.*)_[0-9]+$', 1), '')"
+_TRUE = "length(stem) - length(replace(stem, true_form, ''))"
+# Siblings: the true form in the stem itself and in the other questions of the paper; a repaired delivery of the same question is no witness.
+_add("drv11_sibling_control", f"SELECT s.row_id, s.paper, s.odd, s.true_form, s.times, CAST(s.own + coalesce(p.n, 0) - coalesce(o.n, 0) AS BIGINT) AS siblings, s.own + coalesce(p.n, 0) - coalesce(o.n, 0) > 0 AS accepted FROM (SELECT row_id, qid, {_PAPER} AS paper, odd, true_form, CAST(length(stem) - length(replace(stem, odd, '')) AS BIGINT) AS times, CAST({_TRUE} AS BIGINT) AS own FROM {{bank}} CROSS JOIN {_ODD} WHERE contains(stem, odd)) s LEFT JOIN (SELECT {_PAPER} AS paper, odd, CAST(sum({_TRUE}) AS BIGINT) AS n FROM <q> q CROSS JOIN {_ODD} WHERE contains(stem, true_form) GROUP BY 1, 2) p ON p.paper = s.paper AND p.odd = s.odd LEFT JOIN (SELECT qid, odd, CAST({_TRUE} AS BIGINT) AS n FROM <q> q CROSS JOIN {_ODD} WHERE qid IS NOT NULL AND contains(stem, true_form)) o ON o.qid = s.qid AND o.odd = s.odd AND s.paper IS NOT NULL")
 
 # --- parsing
 _add("par09_question_types", "SELECT subject, kind, count(*) AS n FROM (SELECT subject, CASE WHEN answer = '／' OR answer IS NULL OR answer = '' THEN '非選' WHEN length(answer) > 1 THEN '多選' ELSE '單選' END AS kind FROM <q> q) x GROUP BY subject, kind")
