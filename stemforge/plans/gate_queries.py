@@ -278,7 +278,7 @@ def citation_verdicts(spark, sf_dir):
     law = plain_name_col(F.col("law"))
     latest = latest_rows(packs.where("pcode is not null").select("pcode", "law", "articles", "pack_date", "loaded_at", "pack_row"), ["pcode"], ["pack_date", "loaded_at", "pack_row"])
     articles = latest.select(law.alias("law"), F.explode(F.map_keys("articles")).alias("k")).select("law", article_number(F.col("k")).alias("art"))
-    laws = [r["law"] for r in latest.select(law.alias("law")).distinct().orderBy("law").limit(20_000).collect()]
+    laws = [r["law"] for r in latest.select(law.alias("law")).distinct().collect()]
     cited = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.explode(citations(F.col("text"), laws)).alias("c")).select("doc_id", "c.law", "c.art")
     return verdicts(cited, articles).groupBy("law", "status").agg(F.count("*").alias("refs"))
 
