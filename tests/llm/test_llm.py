@@ -12,7 +12,7 @@ from stemforge.llm.area_model import Linear, calibrate, document_areas, features
 from stemforge.llm.areas import classify, train
 from stemforge.llm.canonical import Scores, canonical_column, decode, fit_scores
 from stemforge.llm.mixing import largest_error, plan, sample, shares
-from stemforge.llm.neardup import near_pairs, prefix_length, sequences
+from stemforge.llm.neardup import near_pairs, prefix_length, sequences, signatures
 from stemforge.llm.noisy_channel import Channel, Reader, align, count_texts
 from stemforge.llm.packing import BestFit, pack
 from stemforge.llm.scan_layout import furniture_pattern, parse, seams
@@ -141,8 +141,9 @@ def test_near_pairs_match_brute_force(spark, t):
             docs.append((len(docs), i % 2, "".join(s)))
     docs += [(1000, 0, ""), (1001, 0, "甲乙"), (1002, 0, "甲乙丙丁"), (1003, 0, "甲乙丙丁")]
     df = spark.createDataFrame([*docs, (2000, 0, None), (2001, None, "甲乙丙丁")], "doc long, part int, text string")
-    got = {(r["doc_a"], r["doc_b"]) for r in near_pairs(df, t).select("doc_a", "doc_b").collect()}
-    assert got == brute(docs, t)
+    for block, task in ((2_000, 1_000_000), (3, 200)):
+        got = [(r["doc_a"], r["doc_b"]) for r in near_pairs(df, t, block=block, task=task).collect()]
+        assert set(got) == brute(docs, t) and len(got) == len(set(got))
     assert near_pairs(df.limit(0), t).collect() == []
 
 
@@ -265,3 +266,10 @@ def test_token_counts(spark):
     df = spark.createDataFrame([("hello world",), ("",), (None,), ("<|endoftext|>",)], "t string")
     n = [r["n"] for r in df.select(token_count(F.col("t")).alias("n")).collect()]
     assert n[0] == 2 and n[1] == n[2] == 0 and n[3] > 1
+
+
+def test_signatures_fold():
+    a = np.unique(np.random.default_rng(1).integers(0, 2**63, 300).astype(np.uint64))
+    wide = np.frombuffer(signatures(a, np.zeros(len(a), np.int64), np.array([300]))[0], np.uint64)
+    half = np.frombuffer(signatures(a, np.zeros(len(a), np.int64), np.array([200]))[0], np.uint64)
+    assert len(wide) == 16 and len(half) == 8 and (wide[:8] | wide[8:] == half).all()
