@@ -12,8 +12,7 @@ def grouped_pairs(df: DataFrame, key: str, item: str, differ: Column | None = No
     Groups beyond ``block`` members are split into blocks by a hash of the item, so that a group holding a third of
     all rows is joined by many tasks. Null keys make no pairs.
     """
-    sized = df.groupBy(key).agg(F.ceil(F.count("*") / block).cast("int").alias("_n")).where(F.col(key).isNotNull())
-    sized = sized.join(df.groupBy(key).count().where("count > 1").select(key), key, "left_semi")
+    sized = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_c")).where("_c > 1").select(key, F.ceil(F.col("_c") / block).cast("int").alias("_n"))
     rows = df.join(sized, key).withColumn("_b", F.pmod(F.xxhash64(F.to_json(item)), F.col("_n")).cast("int"))
     left = rows.select(key, F.col(item).alias("a"), F.col("_b").alias("_i"), F.explode(F.sequence("_b", F.col("_n") - 1)).alias("_j"))
     right = rows.select(key, F.col(item).alias("b"), F.explode(F.sequence(F.lit(0), F.col("_b"))).alias("_i"), F.col("_b").alias("_j"))

@@ -148,5 +148,7 @@ def snapshot_numbers(df: DataFrame, at: str) -> DataFrame:
 
 
 def valid_packs(packs: DataFrame) -> DataFrame:
-    """The valid row of a pcode at a pack date: the one loaded last (then the greatest pack_row)."""
-    return latest_rows(packs.where("pcode is not null and pack_date is not null").select("pack_row", "pack_date", "pcode", "amend_date", "articles", "loaded_at"), ["pack_date", "pcode"], ["loaded_at", "pack_row"])
+    """The valid row of a pcode at a pack date: the one loaded last (then the greatest pack_row). Only the ids are compared; the rows stay where they are."""
+    keyed = packs.where("pcode is not null and pack_date is not null")
+    ids = keyed.groupBy("pack_date", "pcode").agg(F.max(F.struct("loaded_at", "pack_row")).alias("_r")).select(F.col("_r.pack_row").alias("pack_row"))
+    return keyed.select("pack_row", "pack_date", "pcode", "amend_date", "articles", "loaded_at").join(ids, "pack_row", "left_semi")

@@ -15,9 +15,12 @@ SEP = "\u001f"
 
 
 def pack_articles(packs: DataFrame) -> DataFrame:
-    """(pack_date, pcode, pack_row, art, text) of the valid packs; of two spellings of one number the lesser counts."""
-    long = valid_packs(packs).select("pack_date", "pcode", "pack_row", F.explode("articles").alias("spelt", "text"))
-    return long.groupBy("pack_date", "pcode", "pack_row", article_number(F.col("spelt")).alias("art")).agg(F.min_by("text", "spelt").alias("text"))
+    """(pack_date, pcode, pack_row, art, text) of the valid packs; of two spellings of one number the lesser counts. Done row by row, without a shuffle of the texts."""
+    entry = lambda e: F.struct(article_number(e["key"]).alias("art"), e["key"].alias("spelt"), e["value"].alias("text"))
+    rows = valid_packs(packs).select("pack_date", "pcode", "pack_row", F.array_sort(F.transform(F.map_entries("articles"), entry)).alias("own"))
+    before = F.concat(F.array(F.lit(None).cast("string")), F.slice(F.col("own.art"), 1, F.greatest(F.size("own") - 1, F.lit(0))))
+    rows = rows.where(F.size("own") > 0).select("pack_date", "pcode", "pack_row", F.explode(F.arrays_zip(F.col("own").alias("own"), before.alias("before"))).alias("e"))
+    return rows.where("not (e.own.art <=> e.before)").select("pack_date", "pcode", "pack_row", "e.own.art", "e.own.text")
 
 
 def pack_changes(packs: DataFrame) -> DataFrame:

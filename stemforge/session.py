@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,15 +15,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` where the cluster names one; a local one only where it is unset (tests)."""
+    """The folder all executors share: ``spark.checkpoint.dir``. Where it is unset, a local folder in local mode (tests); on a cluster that is an error."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
     own = os.path.join(tempfile.gettempdir(), f"stemforge-{os.getuid()}")
     spark.conf.set("spark.checkpoint.dir", own)
     return own
 
 
+def fresh_dir(spark: SparkSession, name: str) -> str:
+    """A new folder for tables of this run within the shared folder."""
+    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     """Cut lineage with a reliable checkpoint, which survives the loss of executors."""
     spark = df.sparkSession
@@ -31,6 +39,6 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
-def broadcast_below(df: DataFrame, rows: int, limit: int = 100_000) -> DataFrame:
-    """Broadcast hint only where the counted row number is within the limit; else Catalyst chooses a shuffle join."""
-    return F.broadcast(df) if rows <= limit else df
+def broadcast_below(df: DataFrame, limit: int = 100_000) -> DataFrame:
+    """Broadcast hint only where the rows, counted up to one beyond the limit, are within it; else Catalyst chooses a shuffle join."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
