@@ -1,6 +1,6 @@
 """What changed between consecutive full snapshots, by ordinals, compressed bitmaps and aligned column vectors.
 
-Each key gets a persistent ordinal: a hash bucket and a position in it that later keys never disturb. A snapshot is
+``SnapshotStore`` keeps ordinals and containers from delivery to delivery. Each key gets a persistent ordinal: a hash bucket and a position in it that later keys never disturb. A snapshot is
 then one small row per container (a page of 65,536 positions of a bucket): a compressed bitmap of the positions
 present, and the values' digests in the bitmap's order. Two neighbouring snapshots of a container are compared by
 AND-NOT of the bitmaps (added, removed) and by the vectors over the positions in both (changed).
@@ -16,21 +16,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stemforge.session import cut
+
 PAGE = 65_536
 #: Positions kept as sorted numbers up to this many, as 8 KB of bits beyond: the smaller of the two.
 SPARSE = 4_096
 DIGEST = 16
 
 
-def key_dictionary(keys: DataFrame, known: DataFrame | None = None, per_bucket: int = 8_192) -> DataFrame:
+def key_dictionary(keys: DataFrame, known: DataFrame | None = None, per_bucket: int = 8_192, only_new: bool = False) -> DataFrame:
     """(key, bucket, pos): ordinals of the distinct non-null ``key`` values; keys of ``known`` keep theirs.
 
     The number of buckets is fixed by the first call and is read back from ``known`` (column ``buckets``) later, so
-    ordinals persist; growth lengthens the buckets, which only adds pages.
+    ordinals persist; growth lengthens the buckets, which only adds pages. only_new: without the rows of ``known``.
     """
     fresh = keys.select("key").where("key is not null").distinct()
     if known is None:
@@ -39,7 +41,7 @@ def key_dictionary(keys: DataFrame, known: DataFrame | None = None, per_bucket:
     else:
         first = known.select("buckets").first()
         if first is None:
-            return key_dictionary(keys, None, per_bucket)
+            return key_dictionary(keys, None, per_bucket, only_new)
         n = first["buckets"]
         fresh = fresh.join(known, "key", "left_anti")
         base = known.groupBy("bucket").agg(F.max("pos").alias("last"))
@@ -48,7 +50,7 @@ def key_dictionary(keys: DataFrame, known: DataFrame | None = None, per_bucket:
     if base is None:
         return fresh.select("key", "bucket", (F.col("rank") - 1).cast("bigint").alias("pos"), F.lit(n).alias("buckets"))
     fresh = fresh.join(base, "bucket", "left").select("key", "bucket", (F.coalesce("last", F.lit(-1)) + F.col("rank")).cast("bigint").alias("pos"), F.lit(n).alias("buckets"))
-    return known.select("key", "bucket", "pos", "buckets").unionByName(fresh)
+    return fresh if only_new else known.select("key", "bucket", "pos", "buckets").unionByName(fresh)
 
 
 def _pack(pos: np.ndarray) -> bytes:
@@ -116,26 +118,67 @@ def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.concat(out)
 
 
-def snapshot_changes(rows: DataFrame, dictionary: DataFrame | None = None) -> DataFrame:
-    """(seq, key, change): changes of each snapshot against the one before it.
-
-    rows: (seq INT, key STRING, digest BINARY of 16 bytes), one per snapshot and key. seq counts the snapshots
-    1, 2, ...; a snapshot without rows counts as empty, and nothing is reported for the first. Null keys are left
-    out; of rows that share snapshot and key the least digest counts. Empty input gives an empty result.
-    """
-    rows = rows.where("key is not null and seq is not null").groupBy("seq", "key").agg(F.min("digest").alias("digest"))
-    dictionary = key_dictionary(rows, dictionary)
-    last = rows.agg(F.max("seq").alias("last"))
+def _changes(boxes: DataFrame, dictionary: DataFrame, last: int) -> DataFrame:
+    """(seq, key, change) between neighbouring snapshots among the containers; those that end before the last snapshot count as removed."""
     w = Window.partitionBy("bucket", "page").orderBy("seq")
-    boxes = containers(rows, dictionary).crossJoin(F.broadcast(last))  # one row
     before = F.lag("seq").over(w) == F.col("seq") - 1
-    pairs = (
-        boxes.select("seq", "bucket", "page", "bitmap", "vector", F.when(before, F.lag("bitmap").over(w)).alias("old_bitmap"), F.when(before, F.lag("vector").over(w)).alias("old_vector"), (F.coalesce(F.lead("seq").over(w) != F.col("seq") + 1, F.lit(True)) & (F.col("seq") < F.col("last"))).alias("ends"))
-    )
-    found = pairs.mapInPandas(_compare, "seq int, bucket int, pos bigint, change string").where("seq > 1")
+    ends = F.coalesce(F.lead("seq").over(w) != F.col("seq") + 1, F.lit(True)) & (F.col("seq") < last)
+    pairs = boxes.select("seq", "bucket", "page", "bitmap", "vector", F.when(before, F.lag("bitmap").over(w)).alias("old_bitmap"), F.when(before, F.lag("vector").over(w)).alias("old_vector"), ends.alias("ends"))
+    found = pairs.mapInPandas(_compare, "seq int, bucket int, pos bigint, change string")
     return found.join(dictionary, ["bucket", "pos"]).select("seq", "key", "change")
 
 
+class SnapshotStore:
+    """Ordinals and containers of all snapshots delivered so far, in a folder that executors share.
+
+    Each delivery adds a version to both tables: the keys that are new, with their ordinals, and the containers of its
+    snapshots. Nothing stored is ever rewritten, so ordinals persist; a version whose writing broke off is written anew.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, per_bucket: int = 8_192):
+        self.spark, self.path, self.per_bucket = spark, path.rstrip("/"), per_bucket
+        self.version = 0
+        while self._done(f"containers/{self.version}"):
+            self.version += 1
+
+    def _done(self, name: str) -> bool:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}/_SUCCESS")
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
+
+    def _read(self, table: str) -> DataFrame | None:
+        return self.spark.read.parquet(*[f"{self.path}/{table}/{v}" for v in range(self.version)]) if self.version else None
+
+    def advance(self, rows: DataFrame, last: int | None = None) -> DataFrame:
+        """(seq, key, change): changes of the snapshots in rows (seq INT, key STRING, digest BINARY of 16 bytes) against the one before each, stored or new.
+
+        seq counts the snapshots 1, 2, ... and goes on where the store ended; a snapshot without rows counts as empty
+        (``last`` names it if it is the newest), and nothing is reported for the first. Null keys are left out; of rows
+        that share snapshot and key the least digest counts.
+        """
+        rows = cut(rows.where("key is not null and seq is not null").groupBy("seq", "key").agg(F.min("digest").alias("digest")))
+        known, stored = self._read("dictionary"), self._read("containers")
+        had = stored.agg(F.max("seq")).first()[0] if stored is not None else None
+        last = max(last or 0, rows.agg(F.max("seq")).first()[0] or 0, had or 0)
+        fresh = key_dictionary(rows, known, self.per_bucket, only_new=True)
+        fresh.write.mode("overwrite").parquet(f"{self.path}/dictionary/{self.version}")
+        now = self.spark.read.parquet(f"{self.path}/dictionary/{self.version}")
+        dictionary = now if known is None else known.unionByName(now)
+        mark = self.spark.createDataFrame([(last, -1, 0, b"a", b"")], _CONTAINER)  # an empty container, so that an empty snapshot is remembered
+        containers(rows, dictionary).unionByName(mark).write.mode("overwrite").parquet(f"{self.path}/containers/{self.version}")
+        boxes = self.spark.read.parquet(f"{self.path}/containers/{self.version}")
+        if had is not None:
+            boxes = boxes.unionByName(stored.where(F.col("seq") == had))
+        self.version += 1
+        return _changes(boxes, dictionary, last).where(F.col("seq") > F.lit(had or 1))
+
+
+def snapshot_changes(rows: DataFrame, dictionary: DataFrame | None = None) -> DataFrame:
+    """As ``SnapshotStore.advance`` for snapshots that are all given at once, without storing them. Empty input gives an empty result."""
+    rows = cut(rows.where("key is not null and seq is not null").groupBy("seq", "key").agg(F.min("digest").alias("digest")))
+    dictionary = cut(key_dictionary(rows, dictionary))
+    return _changes(containers(rows, dictionary), dictionary, rows.agg(F.max("seq")).first()[0] or 0).where("seq > 1")
+
+
 def latest_rows(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
     """The row of each ``by`` with the greatest ``order`` values, by one aggregation without sorting groups."""
     rest = [c for c in df.columns if c not in by]

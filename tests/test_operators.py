@@ -4,10 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from stemforge.operators import gates, maintain
-from stemforge.operators.blocks import grouped_pairs
+from stemforge.operators.blocks import expand_pairs, grouped_pairs
 from stemforge.operators.citations import _citations, citations, verdicts
-from stemforge.operators.orphans import apply_deltas, orphan_keys, orphan_references, reference_key
-from stemforge.operators.snapshots import PAGE, key_dictionary, latest_rows, snapshot_changes
+from stemforge.operators.orphans import Ledger, apply_deltas, ever_orphans, existence_deltas, orphan_keys, orphan_references, reference_deltas, reference_key
+from stemforge.operators.snapshots import PAGE, SnapshotStore, key_dictionary, latest_rows, snapshot_changes
 
 
 def rows(df):
@@ -70,10 +70,25 @@ def test_orphans(spark):
     r = spark.createDataFrame(refs, "src_table string, src_id long, target string, key string, at timestamp_ntz")
     t = spark.createDataFrame(targets, "target string, key string, born timestamp_ntz, gone timestamp_ntz")
     want = [(2, "late"), (3, "missing"), (5, "deleted"), (8, "missing")]
+    ledger = lambda r, t: apply_deltas(None, reference_deltas(r).unionByName(existence_deltas(t)))
     for share in (0.005, 2.0):
-        assert rows(orphan_references(r, t, hot_share=share).select("src_id", "reason")) == want
-    assert orphan_references(r.limit(0), t).collect() == []
-    assert {x["reason"] for x in orphan_references(r, t.limit(0)).collect()} == {"missing"}
+        assert rows(orphan_references(r, ledger(r, t), hot_share=share).select("src_id", "reason")) == want
+    assert rows(ever_orphans(ledger(r, t)).select("key")) == [("a",), ("b",), ("zz",)]
+    assert orphan_references(r.limit(0), ledger(r.limit(0), t)).collect() == []
+    assert {x["reason"] for x in orphan_references(r, ledger(r, t.limit(0))).collect()} == {"missing"}
+
+
+def test_ledger_by_deliveries_equals_one_run(spark, tmp_path):
+    refs = [("t", f"k{i % 7}", 1 if i % 5 else -1, 0, day(i)) for i in range(60)] + [("t", None, 1, 0, day(0)), ("t", "k1", 1, 0, None)]
+    made = [("t", f"k{i % 9}", 0, 1, day(i)) for i in range(0, 60, 4)] + [("t", f"k{i % 9}", 0, -1, day(i + 70)) for i in range(0, 60, 4)]
+    kind = "target string, key string, refs int, alive int, at timestamp_ntz"
+    whole = spark.createDataFrame(refs + made, kind)
+    ledger = Ledger(spark, f"{tmp_path}/l")
+    assert ledger.read() is None
+    for n in range(4):
+        got = Ledger(spark, f"{tmp_path}/l").advance(spark.createDataFrame((made + refs)[n::4], kind))
+    assert rows(got) == rows(apply_deltas(None, whole))
+    assert rows(Ledger(spark, f"{tmp_path}/l").read()) == rows(got)
 
 
 def test_reference_keys(spark):
@@ -82,11 +97,34 @@ def test_reference_keys(spark):
 
 
 def test_ledger_is_order_free(spark):
-    d = spark.createDataFrame([("t", "a", 1, 0), ("t", "a", 0, -1), ("t", "b", 1, 0)], "target string, key string, refs int, alive int")
-    e = spark.createDataFrame([("t", "a", 0, 1), ("t", "b", 0, 1), ("t", None, 1, 0)], "target string, key string, refs int, alive int")
+    kind = "target string, key string, refs int, alive int, at timestamp_ntz"
+    d = spark.createDataFrame([("t", "a", 1, 0, day(3)), ("t", "a", 0, -1, day(9)), ("t", "b", 1, 0, None)], kind)
+    e = spark.createDataFrame([("t", "a", 0, 1, day(1)), ("t", "b", 0, 1, day(2)), ("t", None, 1, 0, day(1))], kind)
     one, two = apply_deltas(apply_deltas(None, d), e), apply_deltas(None, e.unionByName(d))
-    assert rows(one) == rows(two) == [("t", "a", 1, 0), ("t", "b", 1, 1)]
-    assert rows(orphan_keys(one)) == [("t", "a", 1, 0)]
+    assert rows(one) == rows(two) == [("t", "a", 1, 0, 1, day(1), day(9), day(3), day(3)), ("t", "b", 1, 1, 1, day(2), None, None, None)]
+    assert rows(orphan_keys(one).select("key")) == [("a",)] and ever_orphans(one).collect() == []
+
+
+def test_snapshots_by_deliveries_equal_one_run(spark, tmp_path):
+    data = [(s, f"k{i}", str((i * s) % 3)) for s in range(1, 6) for i in range(40) if (i + s) % 4 and s != 4] + [(2, None, "n")]
+    whole = rows(snapshot_changes(snap(spark, data)))
+    assert {r[0] for r in whole} == {2, 3, 4, 5}
+    at_once = rows(SnapshotStore(spark, f"{tmp_path}/one", per_bucket=7).advance(snap(spark, data)))
+    assert at_once == whole
+    steps, places = [], []
+    for n in range(1, 6):
+        store = SnapshotStore(spark, f"{tmp_path}/steps", per_bucket=7)
+        steps += rows(store.advance(snap(spark, [r for r in data if r[0] == n]), last=n))
+        places.append({r["key"]: (r["bucket"], r["pos"]) for r in store._read("dictionary").collect()})
+    assert sorted(steps) == whole
+    assert all(old.items() <= new.items() for old, new in zip(places, places[1:])) and len(set(places[-1].values())) == 40
+
+
+def test_expand_pairs_over_blocks(spark):
+    m = spark.createDataFrame([("hot", i) for i in range(30)] + [("x", 100), ("x", 101), (None, 5), ("y", None)], "k string, i int")
+    p = spark.createDataFrame([("hot", "hot"), ("hot", "x"), ("x", "y"), ("x", "x")], "a string, b string")
+    got = [(r["a"], r["b"]) for r in expand_pairs(p, m, "k", "i", block=4).collect()]
+    assert len(got) == len({tuple(sorted(x)) for x in got}) == 30 * 29 // 2 + 60 + 1
 
 
 def test_grouped_pairs_over_blocks(spark):
