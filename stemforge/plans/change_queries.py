@@ -9,7 +9,7 @@ from stemforge.functions.lookalike import fold_table, look_key_col
 from stemforge.functions.numerals import article_number
 from stemforge.operators.orphans import Ledger, existence_deltas, orphan_keys, orphan_references, reference_deltas, reference_key
 from stemforge.operators.snapshots import SnapshotStore, snapshot_numbers, valid_packs
-from stemforge.session import broadcast_below, cut, fresh_dir, table
+from stemforge.session import broadcast_below, cut, fresh_dir, stored, table
 
 SEP = "\u001f"
 
@@ -67,7 +67,7 @@ def reference_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    refs = references(spark, sf_dir)
+    refs = stored(references(spark, sf_dir).where("key is not null"), "references")  # read for the counts and for the rows
     deltas = reference_deltas(refs).unionByName(existence_deltas(reference_targets(spark, sf_dir)))
     return orphan_references(refs, Ledger(spark, fresh_dir(spark, "ledger")).advance(deltas))
 

@@ -39,6 +39,13 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage with a table written to the shared folder: smaller than a checkpoint, and only the columns that are needed are read back."""
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def broadcast_below(df: DataFrame, limit: int = 100_000) -> DataFrame:
     """Broadcast hint only where the rows, counted up to one beyond the limit, are within it; else Catalyst chooses a shuffle join."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
