@@ -27,6 +27,8 @@ ALIKE = {
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P",
     "Τ": "T", "Υ": "Y", "Χ": "X", "ο": "o", "ν": "v", "ι": "i",
     "օ": "o", "ո": "n", "ս": "u", "հ": "h",
+    "ρ": "p", "υ": "u", "κ": "к", "Ѵ": "V", "ѵ": "v", "Ү": "Y", "ү": "y", "Ԍ": "G", "ԍ": "g", "ӏ": "l", "Ӏ": "I", "ɡ": "g", "ı": "i", "ɑ": "a",
+    "Ϲ": "C", "ϲ": "c", "ϳ": "j", "Ϳ": "J",
 }
 
 # Kana that look like an ideograph.
