@@ -2,44 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stemforge.llm.canonical import Scores, canonical_column, fit_scores
-from stemforge.operators.blocks import grouped_pairs
+from stemforge.llm.canonical import canonical_column, fit_scores
+from stemforge.operators.blocks import expand_pairs, grouped_pairs
 from stemforge.operators.snapshots import snapshot_numbers
 from stemforge.plans.change_queries import pack_articles
-from stemforge.session import table
+from stemforge.session import broadcast_below, cut, stored, table
 
 
-def _scores(spark: SparkSession, sf_dir: str) -> Scores:
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(text): all texts of both tables, with their repetitions."""
     articles = table(spark, sf_dir, "anchor_packs").select(F.explode(F.map_values("articles")).alias("text"))
-    return fit_scores((table(spark, sf_dir, "explanations"), "t"), (articles, "text"))
+    return table(spark, sf_dir, "explanations").select(F.col("t").alias("text")).unionByName(articles).where("text is not null")
 
 
-def _hash(c: str) -> Column:
-    return F.unhex(F.sha2(F.col(c), 256))
+def _digest(c: str) -> Column:
+    """128 bits that stand for a text."""
+    return F.unhex(F.md5(F.col(c)))
+
+
+def _forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(stored, text, form): the distinct texts, each searched once."""
+    texts = _texts(spark, sf_dir)
+    once = stored(texts.distinct(), "texts")
+    return once.select(_digest("text").alias("stored"), "text", canonical_column(fit_scores((texts, "text")), F.col("text")).alias("form"))
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = _scores(spark, sf_dir)
-    expl = table(spark, sf_dir, "explanations").where("t is not null").select("expl_id", _hash("t").alias("stored"), canonical_column(scores, F.col("t")).alias("form"))
-    expl = expl.select(_hash("form").alias("key"), F.struct(F.col("expl_id").alias("id"), "stored").alias("item"))
-    pairs = grouped_pairs(expl, "key", "item", F.col("a.stored") != F.col("b.stored"))
-    a = pairs.select(F.lit("explanations").alias("src_table"), F.least("a.id", "b.id").alias("id_a"), F.greatest("a.id", "b.id").alias("id_b"), F.lit("").alias("art"))
+    """Texts with equal forms are paired as distinct stored texts, and the pairs expanded to the rows that have them; packs are compared with the row before in time."""
+    keys = stored(_forms(spark, sf_dir).select("stored", _digest("form").alias("key")), "forms")
+    expl = table(spark, sf_dir, "explanations").where("t is not null").select("expl_id", _digest("t").alias("stored"))
+    classes = keys.join(expl.select("stored").distinct(), "stored", "left_semi")
+    pairs = grouped_pairs(classes.select("key", F.struct("stored").alias("item")), "key", "item").select(F.col("a.stored").alias("a"), F.col("b.stored").alias("b"))
+    a = expand_pairs(pairs, expl, "stored", "expl_id").select(F.lit("explanations").alias("src_table"), F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b"), F.lit("").alias("art"))
 
     packs = table(spark, sf_dir, "anchor_packs")
-    arts = pack_articles(packs).where("text is not null").join(F.broadcast(snapshot_numbers(packs, "pack_date")), "pack_date")
-    arts = arts.withColumn("form", canonical_column(scores, F.col("text"))).select("seq", "pcode", "art", "pack_row", _hash("text").alias("stored"), _hash("form").alias("key"))
-    old = arts.select((F.col("seq") + 1).alias("seq"), "pcode", "art", F.col("pack_row").alias("old_row"), F.col("stored").alias("old_stored"), "key")
-    both = arts.join(old, ["seq", "pcode", "art", "key"]).where("stored <> old_stored")
-    b = both.select(F.lit("anchor_packs").alias("src_table"), F.least("pack_row", "old_row").alias("id_a"), F.greatest("pack_row", "old_row").alias("id_b"), "art")
+    arts = pack_articles(packs).where("text is not null").select("pack_date", "pcode", "art", "pack_row", _digest("text").alias("stored"))
+    arts = arts.join(broadcast_below(cut(snapshot_numbers(packs, "pack_date"))), "pack_date").join(keys, "stored")
+    w = Window.partitionBy("pcode", "art").orderBy("seq")  # one row per snapshot
+    old = F.lag(F.struct("seq", "pack_row", "stored", "key")).over(w).alias("old")
+    both = arts.select("seq", "art", "pack_row", "stored", "key", old).where("old.seq = seq - 1 and old.key = key and old.stored <> stored")
+    b = both.select(F.lit("anchor_packs").alias("src_table"), F.least("pack_row", "old.pack_row").alias("id_a"), F.greatest("pack_row", "old.pack_row").alias("id_b"), "art")
     return a.unionByName(b)
 
 
 def p1_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(src_table, id, art, form): every text of both tables in the consistent form."""
-    scores = _scores(spark, sf_dir)
+    scores = fit_scores((_texts(spark, sf_dir), "text"))
     expl = table(spark, sf_dir, "explanations").select(F.lit("explanations").alias("src_table"), F.col("expl_id").alias("id"), F.lit("").alias("art"), F.col("t").alias("text"))
     arts = table(spark, sf_dir, "anchor_packs").select(F.lit("anchor_packs").alias("src_table"), F.col("pack_row").alias("id"), F.explode_outer("articles").alias("art", "text"))
     return expl.unionByName(arts).select("src_table", "id", "art", canonical_column(scores, F.col("text")).alias("form"))

@@ -35,12 +35,26 @@ def test_canonical_equal_exactly_if_alike(spark):
 
 
 def test_lattice_keeps_one_script():
-    scores = Scores([("^", "c", 50), ("c", "a", 50), ("a", "t", 50), ("t", "^", 50), ("^", "М", 30), ("М", "о", 30), ("о", "с", 30), ("с", "к", 30), ("к", "в", 30), ("в", "а", 30), ("а", "^", 30)])
+    pairs = [("^", "c", 50), ("c", "a", 50), ("a", "t", 50), ("t", "^", 50), ("^", "М", 30), ("М", "о", 30), ("о", "с", 30), ("с", "к", 30), ("к", "в", 30), ("в", "а", 30), ("а", "^", 30)]
+    scores = Scores([*pairs, *((a, None, n) for a, _, n in pairs)])
     assert decode("cat", scores) == "cat"
     assert decode(look_key("Москва"), scores) == "Москва"
     assert look_key(decode("cat", scores)) == "cat"
 
 
+def test_kana_stay_kana(spark):
+    texts = ["ロボット", "口ボッ卜", "カニ", "力學", "二口", "人口", "カメラ", "メニュー", "力", "口"] + ["力學"] * 9 + ["人口"] * 9
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    form = {r["t"]: r["f"] for r in df.select("t", canonical_column(fit_scores((df, "t")), F.col("t")).alias("f")).collect()}
+    assert form["ロボット"] == form["口ボッ卜"] == "ロボット" and form["カメラ"] == "カメラ" and form["メニュー"] == "メニュー"
+    assert form["力學"] == "力學" and form["人口"] == "人口" and form["口"] == "口"
+
+
+@pytest.mark.parametrize(("a", "b"), [("ρ", "p"), ("υ", "u"), ("κ", "к"), ("ɡ", "g"), ("ı", "i")])
+def test_look_alikes(a, b):
+    assert look_key(a) == look_key(b) != look_key(b.upper())
+
+
 # --- scanned pages
 
 
