@@ -1,12 +1,14 @@
 """Noisy-channel repair of misrecognised characters.
 
 A recognised string is the true one sent through a channel of character confusions; the repair is the most likely
-true string under the channel times a language model, by Viterbi over the candidates of each doubtful place. The
-language model is made of counts of all texts: character trigrams, and Latin words. The counts hold the noise
-itself, so each count is freed of what the channel explains: of a trigram with a doubtful character, the channel's
-share of the same trigram with the true one is taken off before the comparison.
-
-All counts sit in one hashed table of fixed size (two rows, the lesser value counts).
+true string under the channel times a language model, by Viterbi: over the candidates of doubtful places in ideographs,
+where neighbouring places share trigrams, and over the candidate words of a line, where neighbouring words share
+bigrams. The language model is made of counts of all texts. The counts hold the noise itself, so each count is freed of
+what the channel explains: of a trigram with a doubtful character, the channel's share of the same trigram with the
+true one is taken off before the comparison.
+
+All counts sit in one hashed table of fixed size (two rows, the lesser value counts), which has only what can be asked
+for: trigrams with a character that is seen or true in a confusion, words, and pairs of neighbouring words.
 """
 
 from __future__ import annotations
@@ -21,8 +23,8 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import xxhash
 
-#: Slots of a row of the count table: 2 rows of 8 MB whatever the corpus.
-SLOTS = 2**21
+#: Slots of a row of the count table: 2 rows of 16 MB whatever the corpus.
+SLOTS = 2**22
 #: Signs that stand for a character which couldn't be read.
 UNREADABLE = re.compile("[�■□-]")
 WORD = re.compile(r"[A-Za-z0-9À-ſ]+")
@@ -43,6 +45,10 @@ SAFETY = 3.0
 WORD_NOISE = 0.01
 #: Log odds that a repair must reach.
 MARGIN = 1.5
+#: Weight of what pairs of neighbouring words say beside the words' own odds.
+CONTEXT = 1.0
+#: Runs of more letters and digits than this aren't words (addresses, codes) and stay as they are.
+LONGEST_WORD = 60
 DIGITS_SEEN = str.maketrans({"l": "1", "I": "1", "O": "0", "o": "0", "S": "5", "B": "8"})
 
 
@@ -69,15 +75,43 @@ def folded(text: str) -> str:
     return "\n\n" + re.sub("[0-9]", "0", text) + "\n\n"
 
 
-def count_texts(texts: Iterable[str]) -> np.ndarray:
-    """(2, SLOTS) counts of the texts' trigrams, words and hyphened words."""
+def _pairs(text: str) -> Iterator[tuple[str, str]]:
+    """Neighbouring words, one blank apart."""
+    last = None
+    for m in WORD.finditer(text):
+        if last is not None and m.start() == last.end() + 1 and text[last.end()] == " ":
+            yield last[0], m[0]
+        last = m
+
+
+def count_texts(texts: Iterable[str], asked: str | None = None) -> np.ndarray:
+    """(2, SLOTS) counts of the texts' trigrams, words, hyphened words and pairs of words; of trigrams only those with a character of ``asked``, if given."""
     table = np.zeros((2, SLOTS), np.int64)
     words: Counter = Counter()
+    held: list[str] = []
+    known = None if asked is None else np.isin(np.arange(0x110000), np.array([ord(c) for c in asked], np.int64))
+
+    def add() -> None:
+        keys = _trigrams("".join(held))
+        if known is not None:
+            cp = [(keys >> np.uint64(s)) & np.uint64(0x1FFFFF) for s in (42, 21, 0)]
+            keys = keys[known[cp[0]] | known[cp[1]] | known[cp[2]]]
+        for row, at in zip(table, _slots(keys)):
+            np.add(row, np.bincount(at, minlength=SLOTS), out=row)
+        held.clear()
+
+    size = 0
     for text in texts:
-        for row, at in zip(table, _slots(_trigrams(folded(text)))):
-            np.add.at(row, at, 1)
+        held.append(folded(text))  # with edges of their own, so texts can be joined
+        size += len(text)
+        if size > 2_000_000:
+            add()
+            size = 0
         words.update(WORD.findall(text))
         words.update(HYPHENED.findall(text))
+        words.update(f"{a} {b}" for a, b in _pairs(text))
+    if held:
+        add()
     if words:
         at = _slots(np.fromiter((_word_key(w) for w in words), np.uint64, len(words)))
         n = np.fromiter(words.values(), np.int64, len(words))
@@ -103,6 +137,8 @@ class Channel:
             self.true[seen].append(true)
         self.han = {s: t for s, t in self.true.items() if HAN.match(s)}
         self.latin = {s: t for s, t in self.true.items() if not HAN.match(s)}
+        #: Characters of the trigrams that can be asked for: those of confusions, and digits and the letters like them.
+        self.asked = "".join(sorted({c for pair in self.rates if HAN.match(pair[0]) for x in pair for c in x} | set("0lIOoSB")))
         self.doubtful = re.compile("|".join(map(re.escape, sorted(self.han, key=lambda s: (-len(s), s)))) or "(?!)")
 
 
@@ -118,7 +154,7 @@ def align(seen: str, true: str) -> Iterator[tuple[str, str]]:
 class Reader:
     def __init__(self, table: np.ndarray, channel: Channel):
         self.table, self.channel = table, channel
-        self.words: dict[str, tuple[str, bool]] = {}
+        self.words: dict[str, list[tuple[str, float]]] = {}
 
     def count(self, keys: list[int]) -> list[int]:
         a, b = _slots(np.array(keys, np.uint64))
@@ -150,50 +186,93 @@ class Reader:
         for cluster in clusters:
             lo, hi = cluster[0][0], cluster[-1][1]
             left, right = pad[lo : lo + 2], pad[hi + 2 : hi + 4]
-            paths: list[tuple[str, int, float]] = [("", 0, 0.0)]
-            for k, (i, j) in enumerate(cluster):
-                gap = pad[cluster[k - 1][1] + 2 : i + 2] if k else ""
-                seen = text[i:j]
-                options = [(seen, 0, 0.0), *((t, 1, math.log(self.channel.rates[seen, t])) for t in self.channel.han[seen])]
-                paths = [(p + gap + o, n + r, c + x) for p, n, c in paths for o, r, x in options]
-                if len(paths) > 64:  # the search keeps the best paths by their trigrams so far
-                    paths = sorted(paths, key=lambda p: -p[2] - self._score(left, p[0], ""))[:64]
-            base = self._score(left, paths[0][0], right, [p[0] for p in paths[1:]])
-            best, gain, changed = paths[0][0], MARGIN, 0
-            for p, n, c in paths[1:]:
-                odds = self._score(left, p, right) + c - base
-                if odds > gain:
-                    best, gain, changed = p, odds, n
+            best, changed = self._cluster(left, text, pad, cluster, right)
             out += [text[at:lo], best if changed else text[lo:hi]]
             at = hi
             repaired += changed
         return "".join(out) + text[at:], repaired
 
-    def _score(self, left: str, mid: str, right: str, rivals: list[str] | None = None) -> float:
-        """Log likelihood of the windows over mid; the count of a window is freed of the rivals' share of noise."""
-        own = self._windows(left, mid, right)
-        if rivals:
-            rate = SAFETY * max(self.channel.rates.get((mid, r), 1e-3) for r in rivals)
-            for r in rivals:
-                theirs = self._windows(left, r, right)
-                k = min(len(own), len(theirs))
-                own = [max(0.0, o - rate * t) for o, t in zip(own[:k], theirs[:k])] + own[k:]
+    def _cluster(self, left: str, text: str, pad: str, cluster: list[tuple[int, int]], right: str) -> tuple[str, int]:
+        """The best reading of neighbouring doubtful places and how many of them it changes; none if the odds against the seen one are too small."""
+        segments: list[list[tuple[str, int, float]]] = []
+        for k, (i, j) in enumerate(cluster):
+            if k:
+                segments.append([(pad[cluster[k - 1][1] + 2 : i + 2], 0, 0.0)])
+            seen = text[i:j]
+            segments.append([(seen, 0, 0.0), *((t, 1, math.log(self.channel.rates[seen, t])) for t in self.channel.han[seen])])
+        segments.append([(right, 0, 0.0)])
+        base = self._seen(left, segments)
+        best, gain, changed = "", MARGIN, 0
+        for p, n, odds in self._readings(left, segments):
+            if odds - base > gain:
+                best, gain, changed = p[: len(p) - len(right)], odds - base, n
+        return best, changed
+
+    def _seen(self, left: str, segments: list[list[tuple[str, int, float]]]) -> float:
+        """Log likelihood of the seen reading; each count is freed of the noise that the true strings at one place would cause."""
+        seen = [s[0][0] for s in segments]
+        own = self._windows(left, "".join(seen), "")
+        places = [k for k, s in enumerate(segments) if len(s) > 1]
+        rivals = [(k, t) for k in places for t, _, _ in segments[k][1:]]
+        rate = {k: SAFETY * max(max(PRIOR_RATE, self.channel.rates.get((seen[k], t), PRIOR_RATE)) for t, _, _ in segments[k][1:]) for k in places}
+        for k, t in rivals:
+            theirs = self._windows(left, "".join([*seen[:k], t, *seen[k + 1 :]]), "")
+            n = min(len(own), len(theirs))
+            own = [max(0.0, o - rate[k] * x) for o, x in zip(own[:n], theirs[:n])] + own[n:]
         return sum(math.log(n + 0.02) for n in own) / max(1, len(own)) * 3
 
-    def latin(self, word: str) -> tuple[str, bool]:
-        """The word's repair among the words that one or two confusions could have made of it."""
+    def _readings(self, left: str, segments: list[list[tuple[str, int, float]]]) -> Iterator[tuple[str, int, float]]:
+        """For each length of the whole, the best reading that changes a place, with its log likelihood and channel: Viterbi with the last two characters and the length so far as state.
+
+        The likelihood is the windows' mean, times three; with the number of windows given, that is a sum over steps.
+        """
+        logs: dict[str, float] = {}
+        lengths = {0}
+        for s in segments:
+            lengths = {n + len(o) for n in lengths for o, _, _ in s}
+        tails = {left}
+        for s in segments:  # all windows first, so that counts are looked up together
+            nxt = set()
+            for tail in tails:
+                for o, _, _ in s:
+                    t = tail + o
+                    logs.update(dict.fromkeys((t[i : i + 3] for i in range(len(t) - 2)), 0.0))
+                    nxt.add(t[-2:])
+            tails = nxt
+        for w, n in zip(list(logs), self.trigram(*logs)):
+            logs[w] = math.log(n + 0.02)
+        for total in sorted(lengths):
+            weight = 3 / max(1, len(left) + total - 2)
+            states: dict[tuple[str, int, bool], tuple[float, str, int]] = {(left, 0, False): (0.0, "", 0)}
+            for s in segments:
+                new: dict[tuple[str, int, bool], tuple[float, str, int]] = {}
+                for (tail, n, any_), (score, path, k) in states.items():
+                    for o, r, c in s:
+                        t = tail + o
+                        at = (t[-2:], n + len(o), any_ or r > 0)
+                        x = score + c + weight * sum(logs[t[i : i + 3]] for i in range(len(t) - 2))
+                        if n + len(o) <= total and (at not in new or x > new[at][0]):
+                            new[at] = (x, path + o, k + r)
+                states = new
+            ends = [v for (_, n, any_), v in states.items() if any_ and n == total]
+            if ends:
+                score, path, k = max(ends)
+                yield path, k, score
+
+    def candidates(self, word: str) -> list[tuple[str, float]]:
+        """Words that one or two confusions could have made this one of, with their log odds against it; a word that has to be repaired comes without itself."""
         hit = self.words.get(word)
         if hit is None:
             if len(self.words) > 200_000:
                 self.words.clear()
-            hit = self.words[word] = self._latin(word)
+            hit = self.words[word] = self._candidates(word)
         return hit
 
-    def _latin(self, word: str) -> tuple[str, bool]:
-        if word.isdigit() or len(word) < 2:
-            return word, False
+    def _candidates(self, word: str) -> list[tuple[str, float]]:
+        if word.isdigit() or not 2 <= len(word) <= LONGEST_WORD:
+            return []
         if re.fullmatch("[0-9lIOoSB]+", word) and re.search("[0-9]", word):
-            return word.translate(DIGITS_SEEN), True
+            return [(word.translate(DIGITS_SEEN), math.inf)]
         found: dict[str, float] = {}
         edge = {word: 0.0}
         for _ in range(2):
@@ -207,27 +286,57 @@ class Reader:
                             if v not in found or cost > found[v]:
                                 found[v] = new[v] = cost
                         at = w.find(seen, at + 1)
-            edge = dict(sorted(new.items(), key=lambda x: -x[1])[:200])
+            edge = new
         found.pop(word, None)
         if not found:
-            return word, False
+            return []
         names = list(found)
         n = self.count([_word_key(w) for w in [word, *names]])
         own = n[0]
-        best, gain = word, MARGIN
         mixed = bool(re.search(r"[0-9]", word) and re.search(r"[A-Za-z]", word))
+        out = []
         for w, k in zip(names, n[1:]):
-            if re.search(r"[0-9]", w) and not w.isdigit():
-                continue
-            free = max(0.0, own - SAFETY * k * max(WORD_NOISE, math.exp(found[w])))
-            odds = math.log((k + 0.01) / (free + 0.05)) + found[w] + (6.0 if mixed else 0.0)
-            if k > 0 and odds > gain:
-                best, gain = w, odds
-        if best == word and mixed and re.search(r"[A-Za-zÀ-ſ]{2}", word):
+            if k > 0 and (w.isdigit() or not re.search(r"[0-9]", w)):
+                free = max(0.0, own - SAFETY * k * max(WORD_NOISE, math.exp(found[w])))
+                out.append((w, math.log((k + 0.01) / (free + 0.05)) + found[w] + (6.0 if mixed else 0.0)))
+        if mixed and re.search(r"[A-Za-zÀ-ſ]{2}", word) and not any(o > MARGIN for _, o in out):
             plain = max((w for w in names if w.isalpha()), key=lambda w: found[w], default=None)
             if plain:
-                return plain, True
-        return best, best != word
+                return [(plain, math.inf)]
+        return out
+
+    def latin(self, text: str) -> tuple[str, int]:
+        """Viterbi over the candidate words of each chain of neighbouring words: own odds, less the margin, and what pairs of words say."""
+        words = list(WORD.finditer(text))
+        options = [self.candidates(m[0]) for m in words]
+        if not any(options):
+            return text, 0
+        out, at, repaired, i = [], 0, 0, 0
+        while i < len(words):
+            j = i + 1
+            while j < len(words) and words[j].start() == words[j - 1].end() + 1 and text[words[j].start() - 1] == " ":
+                j += 1
+            if any(options[i:j]):
+                for m, w in zip(words[i:j], self._chain([m[0] for m in words[i:j]], options[i:j])):
+                    if w != m[0]:
+                        out += [text[at : m.start()], w]
+                        at = m.end()
+                        repaired += 1
+            i = j
+        return "".join(out) + text[at:], repaired
+
+    def _chain(self, words: list[str], options: list[list[tuple[str, float]]]) -> list[str]:
+        lattice = [[(o[0][0], 0.0)] if o and o[0][1] == math.inf else [(w, 0.0), *((v, x - MARGIN) for v, x in o)] for w, o in zip(words, options)]
+        pairs = [(a, b) for s, t in zip(lattice, lattice[1:]) if len(s) > 1 or len(t) > 1 for a, _ in s for b, _ in t]
+        said = dict(zip(pairs, self.count([_word_key(f"{a} {b}") for a, b in pairs]))) if pairs else {}
+        best = {w: (x, [w]) for w, x in lattice[0]}
+        for step in lattice[1:]:
+            new = {}
+            for w, x in step:
+                score, path = max(((s + CONTEXT * math.log1p(said.get((a, w), 0)), p) for a, (s, p) in best.items()), key=lambda y: y[0])
+                new[w] = (score + x, [*path, w])
+            best = new
+        return max(best.values(), key=lambda y: y[0])[1]
 
     def single(self, text: str) -> tuple[str, int]:
         """A letter alone where the text's contexts have numbers: between characters that mostly stand beside digits."""
@@ -253,10 +362,5 @@ class Reader:
         text, n = self.single(text)
         wrong += n
 
-        def word(m: re.Match) -> str:
-            nonlocal wrong
-            w, changed = self.latin(m[0])
-            wrong += changed
-            return w
-
-        return unicodedata.normalize("NFC", WORD.sub(word, text)), wrong
+        text, n = self.latin(text)
+        return unicodedata.normalize("NFC", text), wrong + n

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 NUM = r"(?:[0-9０-９]{1,4}|[零〇一二三四五六七八九十百]{1,6})"
-# Words that papers print in running headers and footers, in the form of patterns.
+# Words that papers print in running headers and footers.
 CUES = [
-    r"學年度", "年", "考科", "試題", "題本", "卷別", "第", "頁", "共", "全", "考", "科", "試卷", "背面尚有試題", "請翻頁繼續作答", "翻頁", "請勿攜出", "續背面", "背面",
-    r"(?i:pages?)", r"(?i:of)", r"(?i:paper)", r"(?i:turn over(?: the page)?)", r"(?i:please turn over)", r"(?i:english)", r"(?i:continued on next page)",
+    "學年度", "年", "考科", "試題", "題本", "卷別", "第", "頁", "共", "全", "考", "科", "試卷", "背面尚有試題", "請翻頁繼續作答", "翻頁", "請勿攜出", "續背面", "背面",
+    "page", "pages", "of", "paper", "turn over", "turn over the page", "please turn over", "english", "continued on next page",
 ]
 #: A furniture line holds one of these; numbers and names alone may be text.
 STRONG = r"學年度|考科|試題|題本|卷別|頁|考\s*科|試卷|請勿攜出|‖|(?i:page|paper|turn over)"
@@ -24,11 +24,56 @@ ENDS = re.compile(r"[。？！?!.][」』”\"）)]*$")
 SPLIT_HYPHENS = "-‐¬­‑"
 
 
-def furniture_pattern(names: Iterable[str]) -> re.Pattern:
-    """A run of furniture: numbers, cue words, names of subjects and exams (also spaced out), marks and blanks."""
-    own = {n for n in names if n} | set(NAMES)
-    words = [r"[\s　]?".join(map(re.escape, n)) for n in sorted(own, key=lambda n: (-len(n), n))]
-    return re.compile(rf"(?:{'|'.join([*words, *CUES])}|{NUM}|{MARKS})+")
+class Furniture:
+    """Runs of furniture: numbers, cue words, names of subjects and exams (also spaced out), marks and blanks, in any order.
+
+    A run's ends are found by walking words' tries from every place reached, so the work is linear in the run's length
+    and doesn't grow with the number of names.
+    """
+
+    def __init__(self, names: Iterable[str] = ()):
+        self.single = re.compile(rf"[0-9０-９零〇一二三四五六七八九十百]|{MARKS}")
+        self.names, self.cues = {}, {}
+        for trie, words in ((self.names, {n for n in names if n} | set(NAMES)), (self.cues, CUES)):
+            for w in words:
+                node = trie
+                for ch in w.lower():
+                    node = node.setdefault(ch, {})
+                node[""] = {}
+
+    @staticmethod
+    def _walk(text: str, at: int, trie: dict, spaced: bool) -> Iterator[int]:
+        node, i = trie, at
+        while i < len(text):
+            if spaced and i > at and text[i] in " 　\t" and text[i] not in node:
+                i += 1
+                if i == len(text):
+                    return
+            node = node.get(text[i].lower())
+            if node is None:
+                return
+            i += 1
+            if "" in node:
+                yield i
+
+    def ends(self, text: str, at: int = 0) -> set[int]:
+        """All places where a run that begins at the given one may end."""
+        reached, todo = set(), [at]
+        while todo:
+            i = todo.pop()
+            if i >= len(text):
+                continue
+            steps = [*self._walk(text, i, self.names, True), *self._walk(text, i, self.cues, False)]
+            if self.single.match(text, i):
+                steps.append(i + 1)
+            for j in steps:
+                if j not in reached:
+                    reached.add(j)
+                    todo.append(j)
+        return reached
+
+    def fullmatch(self, text: str) -> bool:
+        return len(text) in self.ends(text)
 
 
 @dataclass
@@ -40,9 +85,9 @@ class Parsed:
     pages: list[str] = field(default_factory=list)
 
 
-def is_header(line: str, furniture: re.Pattern) -> bool:
+def is_header(line: str, furniture: Furniture) -> bool:
     s = line.strip(" 　\t")
-    return 0 < len(s) <= 60 and furniture.fullmatch(s) is not None and re.search(STRONG, s) is not None
+    return bool(s) and re.search(STRONG, s) is not None and furniture.fullmatch(s)
 
 
 #: What a run inside a line must hold to be furniture rather than words of the text.
@@ -52,37 +97,47 @@ _PHRASE = re.compile(rf"(?i:(?:please )?turn over(?: the page)?|page\s+{NUM}\s+o
 _NUMBER = re.compile(NUM)
 
 
-def cut_inline(line: str, furniture: re.Pattern) -> tuple[str, list[str]]:
+def cut_inline(line: str, furniture: Furniture) -> tuple[str, list[str]]:
     """Furniture inside a line: the longest runs of whole blank-separated segments that are furniture together."""
     if not INLINE.search(line):
         return line, []
     line = _PHRASE.sub(lambda m: _BLANKS.sub("\0", m[0]), line)
     parts = _BLANKS.split(line)  # segments at even places, blanks between
+    plain = [x.replace("\0", " ") for x in parts]
+    start = [0]
+    for x in plain:
+        start.append(start[-1] + len(x))
+    whole = "".join(plain)
     found, out, i = [], "", 0
-    joined = lambda a, b: "".join(parts[a:b]).replace("\0", " ")
-    fits = lambda a, b: b - a > 0 and len(joined(a, b)) <= 60 and furniture.fullmatch(joined(a, b)) and INLINE.search(joined(a, b))
+    fits = lambda a, b: b > a and INLINE.search(whole, start[a], start[b]) is not None and furniture.fullmatch(whole[start[a] : start[b]])
     while i < len(parts):
         end = 0
-        if i % 2 == 0 and parts[i] and (len(parts[i]) == 1 or furniture.fullmatch(parts[i].replace("\0", " "))):
-            end = next((j for j in range(len(parts), i, -1) if j % 2 == 1 and fits(i, j)), 0)
+        if i % 2 == 0 and parts[i] and (len(parts[i]) == 1 or furniture.fullmatch(plain[i])):
+            ends = furniture.ends(whole, start[i])
+            j, cands = i + 1, []
+            while j <= len(parts) and start[j] <= max(ends, default=0):
+                if j % 2 == 1 and start[j] in ends:
+                    cands.append(j)
+                j += 1
+            end = next((j for j in reversed(cands) if INLINE.search(whole, start[i], start[j])), 0)
             while end and end - i > 2 and _NUMBER.fullmatch(parts[end - 1]) and fits(i, end - 2):
                 end -= 2
             if end and _NUMBER.fullmatch(parts[i]) and re.match(NUM, parts[min(i + 2, len(parts) - 1)]) and fits(i + 2, end):
                 end = 0
         if end:
-            found.append(joined(i, end))
+            found.append(whole[start[i] : start[end]])
             out = out.rstrip(" 　")
             after = "".join(parts[end:]).lstrip(" 　")
             if out and after and out[-1].isascii() and after[0].isascii() and (out[-1].isalpha() or after[0].isalpha()):
                 out += " "
             i = end + 1
         else:
-            out += parts[i].replace("\0", " ")
+            out += plain[i]
             i += 1
     return out, found
 
 
-def parse(text: str, furniture: re.Pattern) -> Parsed:
+def parse(text: str, furniture: Furniture) -> Parsed:
     p = Parsed()
     for raw in re.split(r"\r\n|\r|\n", text):
         if not raw.strip(" 　\t"):

@@ -8,13 +8,9 @@ from pyspark.sql import functions as F
 from stemforge.llm.scan_repair import repair
 from stemforge.session import table
 
-#: Names of subjects and exams that are passed to the header grammar, the most frequent ones.
-NAMES = 1_000
-
-
 def _repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     bank = table(spark, sf_dir, "bank")
-    names = bank.select(F.explode(F.array("subject", "exam")).alias("name")).where("length(name) > 1").groupBy("name").count().orderBy(F.desc("count"), "name").limit(NAMES).collect()
+    names = bank.select(F.explode(F.array("subject", "exam")).alias("name")).where("length(name) > 1").distinct().collect()  # all of them: subjects and exams are dimensions
     return repair(bank.select("row_id", "stem"), "row_id", "stem", table(spark, sf_dir, "proof_stems").select("row_id", "stem"), [r["name"] for r in names])
 
 

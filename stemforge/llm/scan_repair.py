@@ -17,42 +17,49 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stemforge.llm.noisy_channel import SLOTS, Channel, Reader, align, count_texts, learn_rates
-from stemforge.llm.scan_layout import furniture_pattern, parse, seams
+from stemforge.llm.scan_layout import Furniture, parse, seams
+from stemforge.session import cut
 
 SLICES = 64
+#: Confusions rarer than this among the occurrences of the true string are not learned.
+LEAST_RATE = 1e-5
 
 
-def count_table(texts: DataFrame, names: list[str]) -> np.ndarray:
-    """Counts of all lines of ``text`` as (2, SLOTS) numbers, 16 MB at any size of the corpus."""
+def count_table(texts: DataFrame, names: list[str], asked: str | None = None) -> np.ndarray:
+    """Counts of all lines of ``text`` as (2, SLOTS) numbers, 32 MB at any size of the corpus. Partitions send what isn't zero, merged as a stream by slice."""
+    span = 2 * SLOTS // SLICES
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        furniture = furniture_pattern(names)
-        total = np.zeros((2, SLOTS), np.int64)
+        furniture = Furniture(names)
+        lines = ("\n".join(parse(t, furniture).lines) for pdf in batches for t in pdf["text"] if t)
+        for k, x in enumerate(count_texts(lines, asked).reshape(SLICES, -1)):
+            at = np.flatnonzero(x).astype(np.int32)
+            if len(at):
+                yield pd.DataFrame({"slice": [k], "at": [at.tobytes()], "n": [x[at].tobytes()]})
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[int, np.ndarray] = {}
         for pdf in batches:
-            total += count_texts("\n".join(parse(t, furniture).lines) for t in pdf["text"] if t)
-        flat = total.reshape(SLICES, -1)
-        at = [np.flatnonzero(x).astype(np.int32) for x in flat]
-        yield pd.DataFrame({"slice": range(SLICES), "at": [a.tobytes() for a in at], "n": [x[a].tobytes() for x, a in zip(flat, at)]})
-
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(2 * SLOTS // SLICES, np.int64)
-        for a, n in zip(pdf["at"], pdf["n"]):
-            total[np.frombuffer(a, np.int32)] += np.frombuffer(n, np.int64)
-        return pd.DataFrame({"slice": [pdf["slice"].iloc[0]], "n": [np.minimum(total, 2**31 - 1).astype(np.int32).tobytes()]})
+            for k, a, n in zip(pdf["slice"], pdf["at"], pdf["n"]):
+                sums.setdefault(k, np.zeros(span, np.int64))[np.frombuffer(a, np.int32)] += np.frombuffer(n, np.int64)
+        for k, x in sums.items():
+            yield pd.DataFrame({"slice": [k], "n": [np.minimum(x, 2**31 - 1).astype(np.int32).tobytes()]})
 
     parts = texts.where("text is not null").select("text").mapInPandas(count, "slice int, at binary, n binary")
-    rows = parts.groupBy("slice").applyInPandas(add, "slice int, n binary").collect()  # 64 rows of 256 KB
-    out = np.zeros((SLICES, 2 * SLOTS // SLICES), np.int32)
-    for r in rows:
+    out = np.zeros((SLICES, span), np.int32)
+    for r in parts.repartition("slice").mapInPandas(add, "slice int, n binary").collect():  # 64 rows of 512 KB
         out[r["slice"]] = np.frombuffer(r["n"], np.int32)
     return out.reshape(2, SLOTS)
 
 
-def fit_channel(pairs: DataFrame, names: list[str]) -> Channel:
-    """Confusion rates from (text, proof) pairs. What reaches the driver is one row per confusion of short strings and per single true string."""
+def fit_channel(pairs: DataFrame, names: list[str], least_rate: float = LEAST_RATE) -> Channel:
+    """Confusion rates from (text, proof) pairs, of all confusions found more than once and at least at ``least_rate``.
+
+    What reaches the driver is one row per such confusion: at most 1 / least_rate for each short true string.
+    """
 
     def aligned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        furniture = furniture_pattern(names)
+        furniture = Furniture(names)
         found: Counter = Counter()
         for pdf in batches:
             for text, proof in zip(pdf["text"], pdf["proof"]):
@@ -61,13 +68,11 @@ def fit_channel(pairs: DataFrame, names: list[str]) -> Channel:
                     found.update(align(seams(parse(text, furniture).lines, lambda w: 0)[0], proof))
         yield pd.DataFrame([(a, b, n) for (a, b), n in found.items()], columns=["seen", "true", "n"])
 
-    rows = pairs.mapInPandas(aligned, "seen string, true string, n bigint").groupBy("seen", "true").agg(F.sum("n").alias("n"))
-    confused = rows.where("seen <> '' and n > 1").orderBy(F.desc("n"), "seen", "true").limit(20_000)
-    confused.persist()
-    true = rows.where("seen = ''").join(F.broadcast(confused.select("true").distinct()), "true", "left_semi").select("true", "n").collect()
-    found = {(r["seen"], r["true"]): r["n"] for r in confused.collect()}
-    confused.unpersist()
-    return Channel(learn_rates(found, {r["true"]: r["n"] for r in true}))
+    rows = cut(pairs.mapInPandas(aligned, "seen string, true string, n bigint").groupBy("seen", "true").agg(F.sum("n").alias("n")))
+    confused = rows.where("seen <> '' and n > 1").withColumnRenamed("n", "k")
+    rates = confused.join(rows.where("seen = ''").select("true", "n"), "true", "left").where(F.col("k") >= least_rate * F.coalesce("n", F.lit(1)))
+    found = rates.select("seen", "true", "k", F.coalesce("n", F.lit(1)).alias("n")).collect()
+    return Channel(learn_rates({(r["seen"], r["true"]): r["k"] for r in found}, {r["true"]: r["n"] for r in found}))
 
 
 def repair(rows: DataFrame, id_column: str, text_column: str, proof: DataFrame | None = None, names: list[str] | None = None) -> DataFrame:
@@ -79,14 +84,14 @@ def repair(rows: DataFrame, id_column: str, text_column: str, proof: DataFrame |
     spark = rows.sparkSession
     names = sorted(names or [])
     texts = rows.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    table = spark.sparkContext.broadcast(count_table(texts, names))
     channel = Channel({})
     if proof is not None:
         known = proof.select(F.col(id_column).alias("id"), F.col(text_column).alias("proof"))
         channel = fit_channel(texts.join(known, "id").select("text", "proof"), names)
+    table = spark.sparkContext.broadcast(count_table(texts, names, channel.asked))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        furniture, reader = furniture_pattern(names), Reader(table.value, channel)
+        furniture, reader = Furniture(names), Reader(table.value, channel)
         for pdf in batches:
             out = []
             for i, text in zip(pdf["id"], pdf["text"]):

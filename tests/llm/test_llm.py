@@ -15,7 +15,7 @@ from stemforge.llm.mixing import largest_error, plan, sample, shares
 from stemforge.llm.neardup import near_pairs, prefix_length, sequences, signatures
 from stemforge.llm.noisy_channel import Channel, Reader, align, count_texts
 from stemforge.llm.packing import BestFit, pack
-from stemforge.llm.scan_layout import furniture_pattern, parse, seams
+from stemforge.llm.scan_layout import Furniture, parse, seams
 from stemforge.llm.scan_repair import repair
 from stemforge.llm.tokens import TOKENIZER, token_count
 
@@ -58,7 +58,7 @@ def test_look_alikes(a, b):
 # --- scanned pages
 
 
-FURNITURE = furniture_pattern(["國文"])
+FURNITURE = Furniture(["國文"])
 
 
 @pytest.mark.parametrize(
@@ -108,6 +108,44 @@ def test_channel_repairs_by_context():
     assert reader.read("") == ("", 0)
 
 
+def test_readings_are_the_best_of_all_paths():
+    draw = random.Random(11)
+    for _ in range(60):
+        signs = "甲乙丙丁戊"
+        texts = ["".join(draw.choices(signs, k=30)) for _ in range(40)]
+        reader = Reader(count_texts(texts), Channel({}))
+        segments = []
+        for _ in range(draw.randint(1, 5)):
+            segments.append([(draw.choice(signs), 0, 0.0), *((x, 1, -draw.random()) for x in {"".join(draw.choices(signs, k=draw.randint(1, 2))) for _ in range(3)})])
+            segments.append([(draw.choice(["", "甲"]), 0, 0.0)])
+        segments.append([("丙丁", 0, 0.0)])
+        paths = [("", 0, 0.0)]
+        for s in segments:
+            paths = [(p + o, n + r, c + x) for p, n, c in paths for o, r, x in s]
+
+        def score(p):
+            w = reader._windows("甲乙", p, "")
+            return sum(np.log(n + 0.02) for n in w) / len(w) * 3
+
+        want = max(score(p) + c for p, n, c in paths if n)
+        assert abs(max(x for _, _, x in reader._readings("甲乙", segments)) - want) < 1e-9
+
+
+def test_pairs_of_words_decide():
+    texts = ["a cornet shines at night"] * 60 + ["a comet shines at night"] * 60 + ["the cornet player rests"] * 60 + ["the bright comet passed"] * 60
+    reader = Reader(count_texts(texts), Channel({("rn", "m"): 0.05}))
+    assert reader.read("the bright cornet passed")[0] == "the bright comet passed"
+    assert reader.read("the cornet player rests")[0] == "the cornet player rests"
+
+
+def test_long_headers_and_long_words():
+    line = "國文考科　第 1 頁　共 9 頁　" * 50
+    assert parse(line + "\n甲。", FURNITURE).lines == ["甲。"]
+    assert parse("1" * 5_000 + "甲", FURNITURE).lines == ["1" * 5_000 + "甲"]
+    reader = Reader(count_texts([]), Channel({}))
+    assert reader.read("l" * 50_000)[0] == "l" * 50_000
+
+
 def test_align_finds_confusions():
     assert list(align("甲白勺乙", "甲的乙")) == [("白勺", "的")]
 
