@@ -155,6 +155,7 @@ class Reader:
     def __init__(self, table: np.ndarray, channel: Channel):
         self.table, self.channel = table, channel
         self.words: dict[str, list[tuple[str, float]]] = {}
+        self.spots: dict[tuple[str, str, str], tuple[str, int]] = {}  # what was decided, as the same places come again
 
     def count(self, keys: list[int]) -> list[int]:
         a, b = _slots(np.array(keys, np.uint64))
@@ -178,7 +179,7 @@ class Reader:
         pad = folded(text)
         clusters: list[list[tuple[int, int]]] = []
         for span in places:
-            if clusters and span[0] - clusters[-1][-1][1] < 2:
+            if clusters and span[0] - clusters[-1][-1][1] < 2 and not text[clusters[-1][-1][1] : span[0]].isdigit():
                 clusters[-1].append(span)
             else:
                 clusters.append([span])
@@ -186,7 +187,12 @@ class Reader:
         for cluster in clusters:
             lo, hi = cluster[0][0], cluster[-1][1]
             left, right = pad[lo : lo + 2], pad[hi + 2 : hi + 4]
-            best, changed = self._cluster(left, text, pad, cluster, right)
+            spot = (left, pad[lo + 2 : hi + 2], right)
+            if spot not in self.spots:
+                if len(self.spots) > 200_000:
+                    self.spots.clear()
+                self.spots[spot] = self._cluster(left, text, pad, cluster, right)
+            best, changed = self.spots[spot]
             out += [text[at:lo], best if changed else text[lo:hi]]
             at = hi
             repaired += changed
