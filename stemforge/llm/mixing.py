@@ -6,8 +6,8 @@ evenly) and a hash; the running sum of e plus one random offset per source cross
 once per number crossed: floor(e) or ceil(e) times, never more than the cap.
 
 The running sum needs no global sort: records are counted per cell (source, class of size, slice of the hash), the
-cells' sums are added up over a table of bounded size, and only within cells are records numbered. A source with a
-third of all rows has thousands of cells.
+cells' sums are added up over a table of bounded size, and only within cells are records numbered. A source's
+slices grow with its records, so one with a third of all rows has as many more cells.
 
 Records without size, source or target are left out. A target without records can't be met: its share is spread over
 the others in proportion, and the report has both its target and what was reached.
@@ -20,8 +20,10 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Classes per doubling of size; hash slices per class.
-FINE, SLICES = 8, 32
+from stemforge.session import broadcast_below, cut
+
+#: Classes per doubling of size; records of a source per hash slice of its classes.
+FINE, SLICE = 8, 500_000
 
 
 def plan(sizes: DataFrame, targets: DataFrame, total: float | None = None) -> DataFrame:
@@ -38,15 +40,15 @@ def plan(sizes: DataFrame, targets: DataFrame, total: float | None = None) -> Da
     most = t.agg(F.min(F.col("max_repeats") * F.col("size") / F.col("share")).alias("most"))  # one row
     t = t.crossJoin(F.broadcast(most)).withColumn("wanted", F.col("share") * (F.lit(float(total)) if total else F.col("most")))
     e = F.least(F.col("wanted") / F.col("size"), F.col("max_repeats").cast("double"))
-    return t.select("source", "target_share", "max_repeats", F.coalesce("records", F.lit(0)).alias("records"), F.coalesce("size", F.lit(0)).alias("size"), F.coalesce(e, F.lit(0.0)).alias("expected"), F.coalesce("wanted", F.lit(0.0)).alias("wanted"))
+    return cut(t.select("source", "target_share", "max_repeats", F.coalesce("records", F.lit(0)).alias("records"), F.coalesce("size", F.lit(0)).alias("size"), F.coalesce(e, F.lit(0.0)).alias("expected"), F.coalesce("wanted", F.lit(0.0)).alias("wanted")))  # one row per target
 
 
 def sample(sizes: DataFrame, planned: DataFrame, seed: int = 7) -> DataFrame:
     """(doc_id, source, tokens, copies) of the records used at least once, for sizes (doc_id, source, tokens)."""
-    w = planned.where("expected > 0").select("source", "expected")
+    w = broadcast_below(planned.where("expected > 0").select("source", "expected", F.ceil(F.col("records") / SLICE).cast("int").alias("slices")))
     rows = sizes.where("tokens > 0").select("doc_id", "source", F.col("tokens").cast("bigint").alias("tokens"))
-    rows = rows.withColumn("h", F.xxhash64(F.lit(seed), "doc_id")).withColumn("class", F.floor(F.log2("tokens") * FINE).cast("int")).withColumn("slice", F.pmod(F.shiftrightunsigned("h", 32), F.lit(SLICES)).cast("int"))
-    rows = rows.join(F.broadcast(w), "source")  # one row per target source
+    rows = rows.withColumn("h", F.xxhash64(F.lit(seed), "doc_id")).withColumn("class", F.floor(F.log2("tokens") * FINE).cast("int"))
+    rows = rows.join(w, "source").withColumn("slice", F.pmod(F.shiftrightunsigned("h", 32), F.col("slices")).cast("int"))
     cells = rows.groupBy("source", "class", "slice").agg(F.count("*").alias("n"))
     before = Window.partitionBy("source").orderBy("class", "slice").rowsBetween(Window.unboundedPreceding, -1)
     cells = cells.select("source", "class", "slice", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))

@@ -21,9 +21,10 @@ def p6_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(spec, containers, items, pieces, tokens, fill): how full the containers are."""
-    bins = p6_containers(spark, sf_dir).groupBy("spec", "container", "capacity_tokens").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("items"), F.count_if(F.col("piece") > 0).alias("pieces"))
-    return bins.groupBy("spec").agg(F.count("*").alias("containers"), F.sum("items").alias("items"), F.sum("pieces").alias("pieces"), F.sum("tokens").alias("tokens"), (F.sum("tokens") / F.sum("capacity_tokens")).alias("fill"))
+    """(spec, containers, items, pieces, tokens, fill, by_tokens, by_documents, by_attention): how full the containers are, and which capacity is used up most in how many."""
+    bins = p6_containers(spark, sf_dir).groupBy("spec", "container", "capacity_tokens").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("items"), F.count_if(F.col("piece") > 0).alias("pieces"), F.max("closed_by").alias("closed_by"))
+    by = [F.count_if(F.col("closed_by") == c).alias(f"by_{c}") for c in ("tokens", "documents", "attention")]
+    return bins.groupBy("spec").agg(F.count("*").alias("containers"), F.sum("items").alias("items"), F.sum("pieces").alias("pieces"), F.sum("tokens").alias("tokens"), (F.sum("tokens") / F.sum("capacity_tokens")).alias("fill"), *by)
 
 
 def p7_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
