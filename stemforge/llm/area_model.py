@@ -129,9 +129,13 @@ class Linear:
         self.w[used], self.b = w, b
 
 
-def fit_areas(docs: list[tuple[str, set[str]]], areas: list[str], passes: tuple[int, ...] = (20, 8, 8), weak: list[tuple[str, set[str]]] = ()) -> Linear:
-    """docs: (text, all its areas); weak: (text, some of its areas). Paragraphs of documents with several areas are labelled by turns;
-    of a weakly labelled document the likeliest paragraph of an area is trained on, and the others aren't."""
+def fit_areas(docs: list[tuple[str, set[str]]], areas: list[str], passes: tuple[int, ...] = (20, 8, 8), weak: list[tuple[str, dict[str, float]]] = ()) -> Linear:
+    """docs: (text, all its areas); weak: (text, areas that it has with the probabilities given).
+
+    Paragraphs of documents with several areas are labelled by turns, in the first of which they teach only what they
+    aren't about. Of the documents with a weak label, as many as its probability promises, those with the likeliest
+    paragraphs, are trained on with that paragraph; the others, and their other paragraphs, are left open.
+    """
     texts, owner = [], []
     full = len(docs)
     docs = [*docs, *weak]
@@ -152,7 +156,7 @@ def fit_areas(docs: list[tuple[str, set[str]]], areas: list[str], passes: tuple[
     y = np.where(mask, np.nan, 0.0)
     y[single] = mask[single]
     for r, n in enumerate(passes):
-        keep = np.flatnonzero(single) if r == 0 and single.sum() >= 5 * len(areas) else np.flatnonzero(owner_a < full) if r == 0 else np.arange(len(texts))
+        keep = np.flatnonzero(owner_a < full) if r == 0 else np.arange(len(texts))
         if not len(keep):
             return model
         model.fit([texts[i] for i in keep], y[keep], n)
@@ -168,12 +172,18 @@ def fit_areas(docs: list[tuple[str, set[str]]], areas: list[str], passes: tuple[
                     if y[rows, best[top]].sum() > 1:
                         y[top] = 0
                         y[top, a] = 1
+        y[owner_a >= full] = np.nan
+        promised: dict[tuple[int, float], list[tuple[float, int]]] = {}
         for i in range(full, len(docs)):
             rows = np.flatnonzero(owner_a == i)
-            y[rows] = np.nan
-            for a in np.flatnonzero(allowed[i]):
-                if len(rows):
-                    y[rows[s[rows, a].argmax()], a] = 1
+            for name, p in docs[i][1].items():
+                if name in index and len(rows):
+                    top = rows[s[rows, index[name]].argmax()]
+                    promised.setdefault((index[name], p), []).append((float(s[top, index[name]]), int(top)))
+        for (k, p), found in promised.items():
+            for _, top in sorted(found, reverse=True)[: round(p * len(found))]:
+                y[top] = 0
+                y[top, k] = 1
     return model
 
 

@@ -1,56 +1,86 @@
 """Subject areas of documents: training on labelled and weakly labelled documents, scoring of all.
 
 A document has the areas of its paragraphs. Null, empty and blank texts have none; equal texts have the same areas, as
-the result depends on the text alone. At most ``max_labelled`` labelled documents, chosen by a hash of their ids, train
-the model on the driver; every document is scored, whole.
+the result depends on the text alone. The model is trained on the driver, on at most ``max_labelled`` labelled
+documents of at most ``max_chars`` characters together, chosen by a hash of their ids, and on as many weakly labelled
+ones; every document is scored, whole.
+
+Weak labels come from source and the path part of origin: a rule says that documents of that source and path have an
+area with the precision that the labelled sample shows. Precisions may be low; training uses that share of the rule's
+documents.
 """
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from stemforge.llm.area_model import Linear, calibrate, document_areas, fit_areas
 
-#: The bound on the training sample: labelled documents, and as many weakly labelled ones.
-MAX_LABELLED = 1_000
+#: The bounds on the training sample, for labelled and for weakly labelled documents.
+MAX_LABELLED, MAX_CHARS = 1_000, 2_000_000
+#: A rule needs this precision, this many labelled documents, and to name the area so many times as often as documents do overall.
+LEAST_SHARE, LEAST_DOCS, LEAST_LIFT = 0.5, 30, 3.0
 CHUNK_CHARS = 300_000
 
 
-def weak_rules(documents: DataFrame, labels: DataFrame, share: float = 0.9, least: int = 30) -> DataFrame:
-    """(source, path, area): metadata whose labelled documents nearly all have an area: the source with the origin's path, its part before numbers."""
-    path = F.regexp_extract(F.col("origin"), r"^(\D*)", 1)
-    meta = documents.select("doc_id", "source", path.alias("path")).where("source is not null and path <> ''")
-    labelled = labels.select("doc_id").distinct().join(meta, "doc_id")
-    total = labelled.groupBy("source", "path").agg(F.count("*").alias("n"))
-    by_area = labels.distinct().join(meta, "doc_id").groupBy("source", "path", "area").agg(F.count("*").alias("k"))
-    return by_area.join(total, ["source", "path"]).where((F.col("n") >= least) & (F.col("k") >= share * F.col("n"))).select("source", "path", "area")
-
-
-def train(documents: DataFrame, labels: DataFrame, areas: list[str], max_labelled: int = MAX_LABELLED) -> Linear:
+def path_of(origin: str | None) -> str:
+    """The path part of an origin: what stands before its first digit."""
+    return re.match(r"\D*", origin or "")[0]
+
+
+def weak_rules(labelled: list[tuple[str | None, str | None, set[str]]]) -> dict[tuple[str, str], dict[str, float]]:
+    """(source, path) to areas with their precision, from (source, origin, areas) of labelled documents."""
+    total, by_area, overall = Counter(), Counter(), Counter()
+    for source, origin, have in labelled:
+        overall.update(have)
+        if source and path_of(origin):
+            total[source, path_of(origin)] += 1
+            by_area.update((source, path_of(origin), a) for a in have)
+    rules: dict[tuple[str, str], dict[str, float]] = {}
+    for (source, path, area), k in sorted(by_area.items()):
+        n = total[source, path]
+        if n >= LEAST_DOCS and k >= LEAST_SHARE * n and k / n >= LEAST_LIFT * overall[area] / len(labelled):
+            rules.setdefault((source, path), {})[area] = k / n
+    return rules
+
+
+def _sample(rows: DataFrame, max_docs: int, max_chars: int) -> list[Row]:
+    """Rows (doc_id, source, origin, text, ...) in the order of a hash of their ids: so many at most, and of so many characters together."""
+    ordered = rows.withColumn("chars", F.length("text")).drop("text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs).collect()
+    kept, left = {}, max_chars
+    for r in ordered:
+        if r["chars"] <= left:
+            kept[r["doc_id"]] = r
+            left -= r["chars"]
+    texts = {r["doc_id"]: r["text"] for r in rows.where(F.col("doc_id").isin(list(kept))).select("doc_id", "text").collect()} if kept else {}
+    return [Row(**r.asDict(), text=texts[i]) for i, r in kept.items()]
+
+
+def train(documents: DataFrame, labels: DataFrame, areas: list[str], max_labelled: int = MAX_LABELLED, max_chars: int = MAX_CHARS) -> Linear:
     """The model of a bounded sample; a fifth of it is held out for the thresholds. Without labels the model finds no area."""
+    full = documents.where("text is not null").select("doc_id", "source", "origin", "text")
     sets = labels.where("doc_id is not null and area is not null").groupBy("doc_id").agg(F.collect_set("area").alias("areas"))
-    chosen = sets.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
-    rows = documents.where("text is not null").select("doc_id", "text").join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").collect()
-    docs = [(r["text"], set(r["areas"])) for r in rows]
+    docs = _sample(full.join(sets, "doc_id"), max_labelled, max_chars)
     model = Linear(areas)
     if not docs:
         model.b -= 100
         return model
     fifth = len(docs) // 5
-    rules = {(r["source"], r["path"]): r["area"] for r in weak_rules(documents, labels).limit(1_000).collect()}
-    weak: list[tuple[str, set[str]]] = []
+    rules = weak_rules([(r["source"], r["origin"], set(r["areas"])) for r in docs[fifth:]])
+    weak: list[tuple[str, dict[str, float]]] = []
     if rules:
-        path = F.regexp_extract(F.col("origin"), r"^(\D*)", 1)
         names = [F.struct(F.lit(s).alias("source"), F.lit(p).alias("path")) for s, p in rules]
-        found = documents.where("text is not null").where(F.struct("source", path.alias("path")).isin(names)).join(labels.select("doc_id").distinct(), "doc_id", "left_anti")
-        picked = found.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled).select("text", "source", path.alias("path")).collect()
-        weak = [(r["text"], {rules[r["source"], r["path"]]}) for r in picked]
-    fitted = fit_areas(docs[fifth:], areas, weak=weak)
-    calibrate(fitted, docs[:fifth] or docs)
+        found = full.where(F.struct("source", F.regexp_extract("origin", r"^(\D*)", 1).alias("path")).isin(names)).join(sets, "doc_id", "left_anti")
+        weak = [(r["text"], rules[r["source"], path_of(r["origin"])]) for r in _sample(found, max_labelled, max_chars)]
+    gold = [(r["text"], set(r["areas"])) for r in docs]
+    fitted = fit_areas(gold[fifth:], areas, weak=weak)
+    calibrate(fitted, gold[:fifth] or gold)
     return fitted
 
 

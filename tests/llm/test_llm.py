@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stemforge.functions.lookalike import look_key
 from stemforge.llm.area_model import Linear, calibrate, document_areas, features, fit_areas, paragraphs
-from stemforge.llm.areas import classify, train
+from stemforge.llm.areas import _sample, classify, path_of, train, weak_rules
 from stemforge.llm.canonical import Scores, canonical_column, decode, fit_scores
 from stemforge.llm.mixing import largest_error, plan, sample, shares
 from stemforge.llm.neardup import near_pairs, prefix_length, sequences, signatures
@@ -211,7 +211,7 @@ def test_packing_round_trip(spark):
     items = [(i, rng.choice([0, 1, 7, 40, 99, 100, 101, 350])) for i in range(500)] + [(7, 40), (9999, None)]
     df = spark.createDataFrame(items, "doc_id long, tokens long")
     specs = spark.createDataFrame([("s", 100), ("none", 0)], "spec string, capacity_tokens int")
-    out = pack(df, specs, shard_items=200).collect()
+    out = pack(df, specs, shard_items=200, documents_per_token=0.25, attention_share=1.0).collect()
     fill = collections.Counter()
     docs = collections.Counter()
     for r in out:
@@ -234,6 +234,16 @@ def test_best_fit_obeys_all_capacities():
     assert tight.place(90) == 2
 
 
+@pytest.mark.parametrize(("sizes", "limits", "by"), [([50] * 40, {}, "tokens"), ([5] * 40, {"documents_per_token": 0.04}, "documents"), ([40] * 40, {"attention_share": 0.2}, "attention")])
+def test_each_capacity_closes_containers(spark, sizes, limits, by):
+    items = spark.createDataFrame(list(enumerate(sizes)), "doc_id long, tokens long")
+    specs = spark.createDataFrame([("s", 100)], "spec string, capacity_tokens int")
+    out = pack(items, specs, **{"documents_per_token": 1.0, "attention_share": 1.0, **limits}).collect()
+    bins = collections.Counter(r["container"] for r in out)
+    assert {r["closed_by"] for r in out} == {by}
+    assert max(bins.values()) == {"tokens": 2, "documents": 4, "attention": 1}[by] and len(out) == 40
+
+
 # --- mixing
 
 
@@ -325,3 +335,24 @@ def test_signatures_fold():
     wide = np.frombuffer(signatures(a, np.zeros(len(a), np.int64), np.array([300]))[0], np.uint64)
     half = np.frombuffer(signatures(a, np.zeros(len(a), np.int64), np.array([200]))[0], np.uint64)
     assert len(wide) == 16 and len(half) == 8 and (wide[:8] | wide[8:] == half).all()
+
+
+def test_weak_labels_add_what_they_promise():
+    rng = random.Random(8)
+    areas = ["art", "law", "sport"]
+    gold = make_docs(12, 21)
+    rules = weak_rules([("s", "LAW-7", {"law"})] * 30 + [("s", "LAW-9", {"art"})] * 10 + [("t", "X-1", {"sport"})] * 200 + [(None, None, {"law"})])
+    assert rules == {("s", "LAW-"): {"law": 0.75}}
+    docs = make_docs(400, 22)
+    weak = [(t, {"law": 0.75}) for t, have in docs if "law" in have or rng.random() < 0.2]
+    test = make_docs(80, 23)
+    hits = [sum(set(f) == have for f, (_, have) in zip(document_areas(m, [t for t, _ in test]), test)) for m in (fit_areas(gold, areas), fit_areas(gold, areas, weak=weak))]
+    assert hits[1] >= hits[0] - 2
+    assert path_of("HB-12/3") == "HB-" and path_of(None) == ""
+
+
+def test_training_sample_is_bounded_by_characters(spark):
+    docs = make_docs(60, 24)
+    df = spark.createDataFrame([(i, t, "s", "A-1") for i, (t, _) in enumerate(docs)] + [(99, "長" * 5_000, "s", "A-1")], "doc_id long, text string, source string, origin string")
+    rows = _sample(df, 40, 1_000)
+    assert 0 < sum(len(r["text"]) for r in rows) <= 1_000 and 99 not in {r["doc_id"] for r in rows}
