@@ -50,35 +50,45 @@ def weak_rules(labelled: list[tuple[str | None, str | None, set[str]]]) -> dict[
     return rules
 
 
-def _sample(rows: DataFrame, max_docs: int, max_chars: int) -> list[Row]:
-    """Rows (doc_id, source, origin, text, ...) in the order of a hash of their ids: so many at most, and of so many characters together."""
-    ordered = rows.withColumn("chars", F.length("text")).drop("text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs).collect()
-    kept, left = {}, max_chars
-    for r in ordered:
-        if r["chars"] <= left:
-            kept[r["doc_id"]] = r
-            left -= r["chars"]
-    texts = {r["doc_id"]: r["text"] for r in rows.where(F.col("doc_id").isin(list(kept))).select("doc_id", "text").collect()} if kept else {}
-    return [Row(**r.asDict(), text=texts[i]) for i, r in kept.items()]
+def _first(rows: DataFrame, most: int) -> list[Row]:
+    """The first rows in the order of a hash of doc_id. A slice of the hashes is taken before, so that partitions don't each send that many."""
+    share = min(1.0, 2 * most / max(1, rows.count()))
+    some = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(2**31)) < share * 2**31)
+    return some.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).collect()
+
+
+def _sample(rows: DataFrame, ids: list[int], max_chars: int) -> list[Row]:
+    """Rows (doc_id, source, origin, text) of the ids, in their order, of so many characters together; a document that doesn't fit is left out."""
+    found = {r["doc_id"]: r for r in rows.where(F.col("doc_id").isin(ids)).select("doc_id", "source", "origin", F.length("text").alias("chars")).collect()} if ids else {}
+    kept, left = [], max_chars
+    for i in ids:
+        if i in found and found[i]["chars"] <= left:
+            kept.append(i)
+            left -= found[i]["chars"]
+    texts = {r["doc_id"]: r["text"] for r in rows.where(F.col("doc_id").isin(kept)).select("doc_id", "text").collect()} if kept else {}
+    return [Row(**found[i].asDict(), text=texts[i]) for i in kept]
 
 
 def train(documents: DataFrame, labels: DataFrame, areas: list[str], max_labelled: int = MAX_LABELLED, max_chars: int = MAX_CHARS) -> Linear:
     """The model of a bounded sample; a fifth of it is held out for the thresholds. Without labels the model finds no area."""
     full = documents.where("text is not null").select("doc_id", "source", "origin", "text")
     sets = labels.where("doc_id is not null and area is not null").groupBy("doc_id").agg(F.collect_set("area").alias("areas"))
-    docs = _sample(full.join(sets, "doc_id"), max_labelled, max_chars)
+    chosen = {r["doc_id"]: set(r["areas"]) for r in _first(sets, max_labelled)}
+    docs = _sample(full, list(chosen), max_chars)
     model = Linear(areas)
     if not docs:
         model.b -= 100
         return model
     fifth = len(docs) // 5
-    rules = weak_rules([(r["source"], r["origin"], set(r["areas"])) for r in docs[fifth:]])
+    rules = weak_rules([(r["source"], r["origin"], chosen[r["doc_id"]]) for r in docs[fifth:]])
     weak: list[tuple[str, dict[str, float]]] = []
     if rules:
         names = [F.struct(F.lit(s).alias("source"), F.lit(p).alias("path")) for s, p in rules]
-        found = full.where(F.struct("source", F.regexp_extract("origin", r"^(\D*)", 1).alias("path")).isin(names)).join(sets, "doc_id", "left_anti")
-        weak = [(r["text"], rules[r["source"], path_of(r["origin"])]) for r in _sample(found, max_labelled, max_chars)]
-    gold = [(r["text"], set(r["areas"])) for r in docs]
+        found = full.where(F.struct("source", F.regexp_extract("origin", r"^(\D*)", 1).alias("path")).isin(names)).select("doc_id")
+        ids = [r["doc_id"] for r in _first(found, 2 * max_labelled)]
+        known = {r["doc_id"] for r in labels.where(F.col("doc_id").isin(ids)).select("doc_id").distinct().collect()}
+        weak = [(r["text"], rules[r["source"], path_of(r["origin"])]) for r in _sample(full, [i for i in ids if i not in known][:max_labelled], max_chars)]
+    gold = [(r["text"], chosen[r["doc_id"]]) for r in docs]
     fitted = fit_areas(gold[fifth:], areas, weak=weak)
     calibrate(fitted, gold[:fifth] or gold)
     return fitted
