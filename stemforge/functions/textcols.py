@@ -19,8 +19,9 @@ HEDGE_WORDS = "信心|把握|可信度"
 LEVEL_WORDS = "高|中|低|不足|有限"
 BOILERPLATE = "僅供參考|以上解析|如有疑義|請以官方"
 #: Full-width letters and digits of answers, and their half-width forms.
-WIDE = "ＡＢＣＤＥ０１２３４５６７８９"
-NARROW = "ABCDE0123456789"
+WIDE = "ＡＢＣＤＥＦＧＨＩＪ０１２３４５６７８９"
+NARROW = "ABCDEFGHIJ0123456789"
+FURNITURE_WORDS = "考科|試題|題本|卷別|翻頁|^ *第[ 0-9]+頁[ \r]*$"
 
 squeeze = lambda c: F.regexp_replace(c, r"(?U)\s+", "")
 fold_answer = lambda c: F.translate(c, WIDE, NARROW)
@@ -71,9 +72,12 @@ def scaled_number(value: Column, scale: Column) -> Column:
 
 
 def visible_text(c: Column) -> Column:
-    """HTML without scripts, styles and tags; blanks collapsed."""
+    """HTML without scripts, styles and tags; common entities decoded, blanks collapsed."""
     c = F.regexp_replace(c, r"(?is)<(script|style|noscript)\b.*?</\1>", " ")
-    return F.regexp_replace(F.regexp_replace(F.regexp_replace(c, r"(?s)<[^>]*>", "\n"), r"[ \t]*\n\s*", "\n"), r"^\s+|\s+$", "")
+    c = F.regexp_replace(c, r"(?s)<[^>]*>", "\n")
+    for entity, sign in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+        c = F.replace(c, F.lit(entity), F.lit(sign))  # the ampersand last, so that nothing is decoded twice
+    return F.regexp_replace(F.regexp_replace(c, r"[ \t]*\n\s*", "\n"), r"^\s+|\s+$", "")
 
 
 def prompt_digest(c: Column, mask: str | None = None) -> Column:
@@ -102,7 +106,41 @@ def needs_figure(stem: Column, passage: Column, options: Column) -> Column:
 
 
 def ends_like_sentence(c: Column) -> Column:
-    return c.rlike(r"[。？！?!:：」]\s*$")
+    return c.rlike(r"[。？！?!:：」][\s　]*$")
+
+
+def map_terms(c: Column, terms: dict[str, str]) -> Column:
+    """Terms of the mapping replaced; any other stays as it is."""
+    return F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in terms.items() for x in pair]), c), c)
+
+
+def furniture_line(c: Column) -> Column:
+    return c.rlike(FURNITURE_WORDS)
+
+
+def without_furniture(c: Column) -> Column:
+    """The text without its furniture lines."""
+    return F.array_join(F.filter(F.split(c, "\n"), lambda x: ~furniture_line(x)), "\n")
+
+
+def concluded_letters(c: Column) -> Column:
+    """The letters that an explanation concludes with (故選), else those it names as the answer; '' without any."""
+    said = F.regexp_extract(c, r"故選[ 　]*[(（]?([A-J]+)", 1)
+    return F.when(said != "", said).otherwise(F.regexp_extract(c, r"^正解：[(（]([A-J]+)[)）]", 1))
+
+
+def without_boilerplate(c: Column) -> Column:
+    """Without a disclaimer at the end that is short and has no letters, digits or articles; elsewhere it stays."""
+    return F.regexp_replace(c, rf"[^。\nA-Za-z0-9第]{{0,40}}(?:{BOILERPLATE})[^。\nA-Za-z0-9第]{{0,40}}。?\s*$", "")
+
+
+def repeated_mark(c: Column) -> Column:
+    """The same circled mark twice, with no other between."""
+    return c.rlike(r"([①-⑩])[^①-⑩]*\1")
+
+
+def text_after_question(c: Column) -> Column:
+    return c.rlike("？[^？\n）」 　\r]")
 
 
 def marks_in_order(markers: Column) -> Column:

@@ -6,16 +6,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Statuses of answers that can be graded, and of those that can only be read.
+ANSWERABLE = ("official", "multi", "free")
+READ_ONLY = ("none_published", "not_applicable", "unread")
+#: Numbers that a group of questions may span.
+GROUP_SPAN = 10
+
+
 def paper_of(qid: Column) -> Column:
     """The paper a question belongs to: its id without the last part, found by shape."""
     return F.regexp_extract(qid, r"^(.*)_\d+\z", 1)
 
 
 def completeness(rows: DataFrame, paper: str, no: str) -> DataFrame:
-    """(paper, rows, declared, missing, gaps): numbers 1..max that a paper lacks. One shuffle on the paper."""
-    g = rows.where(F.col(paper).isNotNull() & F.col(no).isNotNull()).groupBy(paper).agg(F.countDistinct(no).alias("rows"), F.max(no).alias("declared"), F.collect_set(no).alias("_have"))
-    gaps = F.array_sort(F.array_except(F.sequence(F.lit(1), F.col("declared")), "_have"))
-    return g.select(paper, "rows", "declared", F.size(gaps).cast("bigint").alias("missing"), F.array_join(gaps.cast("array<string>"), ",").alias("gaps"))
+    """(paper, rows, declared, missing, gaps): numbers 1..max that a paper lacks, as ranges, so that one corrupt number costs nothing. One shuffle on the paper."""
+    g = rows.where(F.col(paper).isNotNull() & F.col(no).isNotNull()).groupBy(paper).agg(F.countDistinct(no).alias("rows"), F.max(no).alias("declared"), F.array_sort(F.collect_set(F.when(F.col(no) > 0, F.col(no)))).alias("_have"))
+    before = F.concat(F.array(F.lit(0)), F.col("_have"))
+    spans = F.filter(F.zip_with(before, "_have", lambda a, b: F.struct((a + 1).alias("a"), (b - 1).alias("b"))), lambda s: s["a"] <= s["b"])
+    text = F.transform(spans, lambda s: F.when(s["a"] == s["b"], s["a"].cast("string")).otherwise(F.concat(s["a"].cast("string"), F.lit("-"), s["b"].cast("string"))))
+    missing = F.aggregate(spans, F.lit(0).cast("bigint"), lambda n, s: n + (s["b"] - s["a"] + 1).cast("bigint"))
+    return g.select(paper, "rows", "declared", missing.alias("missing"), F.array_join(text, ",").alias("gaps"))
 
 
 def pairing(bank: DataFrame, key: DataFrame, on: str, value: str) -> DataFrame:

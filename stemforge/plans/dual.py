@@ -1,20 +1,14 @@
-"""One statement for two engines: Spark runs it on the tables, and DuckDB's spelling of it is the check.
-
-``rr(x, p, r)``, ``rc(x, p)`` and ``rl(x, p)`` (replace all, count, match of a regular expression) and ``<q>`` (the
-latest delivery of each question) are spelt out for each engine; ``{name}`` is a table.
+"""Spelling of SQL for DuckDB: ``rr(x, p, r)``, ``rc(x, p)`` and ``rl(x, p)`` (replace all, count, match of a regular
+expression), ``<q>`` and ``<first>`` (the latest and the first delivery of each question); ``{name}`` is a table.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-
-from stemforge.session import table
-
-LATEST = "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY loaded_at DESC, row_id DESC) AS rn_ FROM {bank}) t_ WHERE rn_ = 1)"
+FIRST = "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY loaded_at, row_id) AS rn_ FROM bank) t_ WHERE rn_ = 1)"
+LATEST = "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY loaded_at DESC, row_id DESC) AS rn_ FROM bank) t_ WHERE rn_ = 1)"
 
 
 def call(sql: str, name: str, make: Callable[[list[str]], str]) -> str:
@@ -38,31 +32,9 @@ def call(sql: str, name: str, make: Callable[[list[str]], str]) -> str:
     return sql
 
 
-def spell(sql: str, engine: str) -> str:
-    duck = engine == "duckdb"
-    sql = sql.replace("<q>", LATEST)
-    sql = call(sql, "rr", lambda a: f"regexp_replace({', '.join(a)}{', ' + repr('g') if duck else ''})")
-    sql = call(sql, "rc", lambda a: f"CAST({f'len(regexp_extract_all({a[0]}, {a[1]}))' if duck else f'regexp_count({a[0]}, {a[1]})'} AS BIGINT)")
-    return call(sql, "rl", lambda a: f"regexp_matches({a[0]}, {a[1]})" if duck else f"({a[0]} RLIKE {a[1]})")
-
-
-def tables_of(sql: str) -> set[str]:
-    return set(re.findall(r"\{(\w+)\}", sql))
-
-
-def spark_query(sql: str) -> Callable[[SparkSession, str], DataFrame]:
-    spelt = spell(sql, "spark")
-
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        text = spelt
-        for name in tables_of(spelt):
-            view = f"v{zlib.crc32(sf_dir.encode()):08x}_{name}"
-            table(spark, sf_dir, name).createOrReplaceTempView(view)
-            text = text.replace(f"{{{name}}}", view)
-        return spark.sql(text)
-
-    return run
-
-
 def duck_sql(sql: str) -> str:
-    return re.sub(r"\{(\w+)\}", r"\1", spell(sql, "duckdb"))
+    sql = sql.replace("<q>", LATEST).replace("<first>", FIRST)
+    sql = call(sql, "rr", lambda a: f"regexp_replace({', '.join(a)}, 'g')")
+    sql = call(sql, "rc", lambda a: f"CAST(len(regexp_extract_all({a[0]}, {a[1]})) AS BIGINT)")
+    sql = call(sql, "rl", lambda a: f"regexp_matches({a[0]}, {a[1]})")
+    return re.sub(r"\{(bank|explanations|anchor_packs|figure_files|answer_events|documents|proof_stems|areas|area_labels)\}", r"\1", sql)

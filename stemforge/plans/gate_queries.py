@@ -38,7 +38,7 @@ def questions(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return latest_rows(bank.select("qid", "loaded_at", "row_id", *[c for c in columns if c not in ("qid", "loaded_at", "row_id")]).where("qid is not null"), ["qid"], ["loaded_at", "row_id"])
 
 
-@query("agg03_paper_completeness", "SELECT paper, count(DISTINCT no) AS rows, max(no) AS declared, CAST(max(no) - count(DISTINCT no) AS BIGINT) AS missing, array_to_string(list_sort(list_filter(range(1, max(no) + 1), lambda x: NOT list_contains(list(no), x))), ',') AS gaps FROM (SELECT regexp_extract(qid, '^(.*)_[0-9]+$', 1) AS paper, no FROM {bank} WHERE no IS NOT NULL) x GROUP BY paper")
+@query("agg03_paper_completeness", "WITH n AS (SELECT DISTINCT regexp_extract(qid, '^(.*)_[0-9]+$', 1) AS paper, no FROM {bank} WHERE no IS NOT NULL), g AS (SELECT paper, no, coalesce(lag(no) OVER (PARTITION BY paper ORDER BY no), 0) AS old FROM n WHERE no > 0) SELECT n.paper, count(*) AS rows, max(n.no) AS declared, CAST(coalesce(any_value(x.missing), 0) AS BIGINT) AS missing, coalesce(any_value(x.gaps), '') AS gaps FROM n LEFT JOIN (SELECT paper, sum(no - old - 1) AS missing, string_agg(CASE WHEN no - old = 2 THEN CAST(old + 1 AS VARCHAR) ELSE concat(old + 1, '-', no - 1) END, ',' ORDER BY no) AS gaps FROM g WHERE no - old > 1 GROUP BY paper) x ON n.paper = x.paper GROUP BY n.paper")
 def paper_completeness(spark, sf_dir):
     bank = table(spark, sf_dir, "bank").select(gates.paper_of(F.col("qid")).alias("paper"), "no")
     return gates.completeness(bank, "paper", "no")

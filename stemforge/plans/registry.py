@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stemforge.plans import change_queries, gate_queries, statements
+from stemforge.plans import change_queries, gate_queries, question_queries, statements
 
-QUERIES = {**gate_queries.QUERIES, **statements.QUERIES, **change_queries.QUERIES}
+QUERIES = {**gate_queries.QUERIES, **question_queries.QUERIES, **change_queries.QUERIES}
 SQL: dict[str, str] = {**gate_queries.SQL, **statements.SQL, **change_queries.SQL}
