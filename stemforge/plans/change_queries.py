@@ -118,12 +118,15 @@ def fold_values() -> str:
 
 
 _SHAPE = f"'^第?([0-9]+|{_NUMERAL}+)條?(?:[-之]([0-9]+|{_NUMERAL}+))?條?$'"
+#: Article numbers in SQL: from ``spelt`` to s, from s to major and minor, and from those to the number.
+ARTICLE_PLAIN = f"regexp_replace(regexp_replace(translate(spelt, '{_WIDE}', '{_NARROW}'), '[\\s\\p{{Z}}\\x{{200b}}-\\x{{200f}}\\x{{2060}}\\x{{feff}}\\x{{ad}}\\x{{fe0e}}]+', '', 'g'), '[\\x{{2010}}-\\x{{2015}}\\x{{2212}}]', '-', 'g')"
+ARTICLE_PARTS = f"regexp_extract(s, {_SHAPE}, 1) AS major, regexp_extract(s, {_SHAPE}, 2) AS minor"
+ARTICLE_SQL = f"CASE WHEN major = '' THEN s ELSE {_PART.format('major')} || CASE WHEN minor = '' THEN '' ELSE '-' || {_PART.format('minor')} END END"
 _P3 = f"""WITH fold(ch, folded) AS (VALUES {fold_values()}),
 valid AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pack_date, pcode ORDER BY loaded_at DESC, pack_row DESC) AS k FROM anchor_packs WHERE pcode IS NOT NULL AND pack_date IS NOT NULL) x WHERE k = 1),
 dates AS (SELECT pack_date, lag(pack_date) OVER (ORDER BY pack_date) AS old_date FROM (SELECT DISTINCT pack_date FROM anchor_packs WHERE pack_date IS NOT NULL) x),
-spelt AS (SELECT pack_date, pcode, e.key AS spelt, e.value AS text, regexp_replace(regexp_replace(translate(e.key, '{_WIDE}', '{_NARROW}'), '[\\s\\p{{Z}}\\x{{200b}}-\\x{{200f}}\\x{{2060}}\\x{{feff}}\\x{{ad}}\\x{{fe0e}}]+', '', 'g'), '[\\x{{2010}}-\\x{{2015}}\\x{{2212}}]', '-', 'g') AS s FROM (SELECT pack_date, pcode, unnest(map_entries(articles)) AS e FROM valid) x),
-parts AS (SELECT *, regexp_extract(s, {_SHAPE}, 1) AS major, regexp_extract(s, {_SHAPE}, 2) AS minor FROM spelt),
-arts AS (SELECT pack_date, pcode, CASE WHEN major = '' THEN s ELSE {_PART.format("major")} || CASE WHEN minor = '' THEN '' ELSE '-' || {_PART.format("minor")} END END AS art, spelt, text FROM parts),
+spelt AS (SELECT *, {ARTICLE_PLAIN} AS s FROM (SELECT pack_date, pcode, e.key AS spelt, e.value AS text FROM (SELECT pack_date, pcode, unnest(map_entries(articles)) AS e FROM valid) x) y),
+arts AS (SELECT pack_date, pcode, {ARTICLE_SQL} AS art, spelt, text FROM (SELECT *, {ARTICLE_PARTS} FROM spelt) x),
 one AS (SELECT pack_date, pcode, art, arg_min(coalesce(text, chr(1)), spelt) AS text FROM arts GROUP BY ALL),
 chars AS (SELECT text, unnest(string_split(text, '')) AS c, generate_subscripts(string_split(text, ''), 1) AS i FROM (SELECT DISTINCT text FROM one) x),
 looks AS (SELECT text, nfc_normalize(string_agg(coalesce(folded, c), '' ORDER BY i)) AS look FROM chars LEFT JOIN fold ON ch = c GROUP BY text),

@@ -11,13 +11,17 @@ from stemforge.functions import statistics as st
 from stemforge.functions import textcols as tx
 from stemforge.functions.numerals import article_number, chinese_integer
 from stemforge.operators import gates, maintain
-from stemforge.operators.citations import citations, impacted, plain_name_col, verdicts
+from stemforge.operators.citations import citations, impacted, key_numbers_col, plain_name_col, verdicts
 from stemforge.operators.orphans import reference_key
 from stemforge.operators.snapshots import latest_rows
-from stemforge.plans.change_queries import _KEY, pack_articles, pack_changes
+from stemforge.functions.lookalike import normal_form
+from stemforge.plans.change_queries import _KEY, ARTICLE_PARTS, ARTICLE_PLAIN, ARTICLE_SQL, p3_found, pack_articles, pack_changes
+from stemforge.plans.change_queries import SQL as CHANGE_SQL
 from stemforge.plans.dual import duck_sql
+from stemforge.plans.statements import full_width as _full_width
 from stemforge.session import table
 
+CHANGES, FULL_WIDTH = CHANGE_SQL["p3_found"], _full_width("@@")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -271,16 +275,51 @@ def token_conservation(spark, sf_dir):
     return e.select("expl_id", F.size(F.array_except(old, new)).cast("bigint").alias("lost"), F.size(F.array_except(new, old)).cast("bigint").alias("added"))
 
 
+def _newest_articles(packs):
+    """(law, art, numbers, pcode) of the newest pack of each law."""
+    latest = latest_rows(packs.where("pcode is not null").select("pcode", "pack_date", "loaded_at", "pack_row"), ["pcode"], ["pack_date", "loaded_at", "pack_row"]).select("pack_row")
+    own = packs.join(latest, "pack_row", "left_semi").select("pcode", plain_name_col(F.col("law")).alias("law"), F.explode("articles").alias("k", "text"))
+    return own.select("pcode", "law", article_number(F.col("k")).alias("art"), key_numbers_col(F.col("text")).alias("numbers"))
+
+
 @query("join05_citation_verdicts")
 def citation_verdicts(spark, sf_dir):
-    """Citations in the law texts of documents, checked against the articles of the newest packs."""
+    """Citations in documents and explanations, checked against the articles of the newest packs."""
     packs = table(spark, sf_dir, "anchor_packs")
-    law = plain_name_col(F.col("law"))
-    latest = latest_rows(packs.where("pcode is not null").select("pcode", "law", "articles", "pack_date", "loaded_at", "pack_row"), ["pcode"], ["pack_date", "loaded_at", "pack_row"])
-    articles = latest.select(law.alias("law"), F.explode(F.map_keys("articles")).alias("k")).select("law", article_number(F.col("k")).alias("art"))
-    laws = [r["law"] for r in latest.select(law.alias("law")).distinct().collect()]
-    cited = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.explode(citations(F.col("text"), laws)).alias("c")).select("doc_id", "c.law", "c.art")
-    return verdicts(cited, articles).groupBy("law", "status").agg(F.count("*").alias("refs"))
+    laws = [r["law"] for r in packs.select(plain_name_col(F.col("law")).alias("law")).where("law <> ''").distinct().collect()]
+    text = table(spark, sf_dir, "documents").select(F.lit("documents").alias("src_table"), F.col("doc_id").alias("src_id"), "text")
+    text = text.unionByName(table(spark, sf_dir, "explanations").select(F.lit("explanations").alias("src_table"), F.col("expl_id").alias("src_id"), F.col("t").alias("text")))
+    found = text.where("text is not null").select("src_table", "src_id", F.explode(citations(F.col("text"), laws)).alias("c")).select("src_table", "src_id", "c.*")
+    return verdicts(found, _newest_articles(packs).drop("pcode")).groupBy("law", "status").agg(F.count("*").alias("refs"))
+
+
+_OLD = """WITH p AS (SELECT *, row_number() OVER (PARTITION BY pcode ORDER BY pack_date DESC, loaded_at DESC, pack_row DESC) AS k FROM anchor_packs WHERE pcode IS NOT NULL),
+valid AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pack_date, pcode ORDER BY loaded_at DESC, pack_row DESC) AS v FROM p WHERE pack_date IS NOT NULL) x WHERE v = 1),
+spelt AS (SELECT pcode, pack_date, k, e.key AS spelt, e.value AS text FROM (SELECT pcode, pack_date, k, unnest(map_entries(articles)) AS e FROM {0}) x),
+arts AS (SELECT pcode, pack_date, """ + ARTICLE_SQL + """ AS art FROM (SELECT *, """ + ARTICLE_PARTS + """ FROM (SELECT *, """ + ARTICLE_PLAIN + """ AS s FROM spelt) a) b)"""
+
+
+@query("join05_pack_citations", "SELECT o.pack_date, CASE WHEN n.art IS NULL THEN 'fail' ELSE 'there' END AS status, count(*) AS refs FROM (" + _OLD.replace("{0}", "valid") + " SELECT DISTINCT pcode, pack_date, art FROM arts) o LEFT JOIN (" + _OLD.replace("{0}", "(SELECT * FROM p WHERE k = 1) w") + " SELECT DISTINCT pcode, art FROM arts) n ON o.pcode = n.pcode AND o.art = n.art GROUP BY ALL")
+def pack_citations(spark, sf_dir):
+    """Every article of every pack cited in a sentence with its law's code as the name, read back from the text, and looked up in the newest pack; numbers are join05_number_flags'."""
+    return _pack_verdicts(spark, sf_dir).groupBy("pack_date", F.when(F.col("status").isin("ok", "flag"), "there").otherwise(F.col("status")).alias("status")).agg(F.count("*").alias("refs"))
+
+
+@query("join05_number_flags")
+def number_flags(spark, sf_dir):
+    """Of those citations, the ones whose numbers the newest article doesn't have."""
+    return _pack_verdicts(spark, sf_dir).where("status = 'flag'").select("pack_date", "law", "art", "note")
+
+
+def _pack_verdicts(spark, sf_dir):
+    packs = table(spark, sf_dir, "anchor_packs")
+    law = F.concat(F.lit("法典"), "pcode")
+    said = F.concat(law, F.lit("第"), F.regexp_replace("art", "-", "條之"), F.when(F.contains("art", F.lit("-")), "：").otherwise("條："), F.regexp_replace(F.coalesce("text", F.lit("")), "[。！？!?；;\n]", "，"))
+    text = pack_articles(packs).select("pack_date", "pcode", said.alias("t"))
+    laws = [f"法典{r['pcode']}" for r in packs.where("pcode is not null").select("pcode").distinct().collect()]
+    found = text.select("pack_date", F.get(citations(F.col("t"), laws), 0).alias("c")).select("pack_date", "c.*")
+    newest = _newest_articles(packs).select(law.alias("law"), "art", "numbers")
+    return verdicts(found, newest)
 
 
 @query("join07_impacted_laws")
@@ -295,20 +334,32 @@ def impacted_laws(spark, sf_dir):
     return impacted(cited, names, pack_changes(packs).where("art <> ''"))
 
 
-@query("nrm05_article_lengths")
+@query("agg08_impact_summary", "SELECT pack_date, count(*) FILTER (change_type = 'added') AS added, count(*) FILTER (change_type = 'amended') AS amended, count(*) FILTER (change_type = 'removed') AS removed, count(DISTINCT pcode) AS laws FROM (" + CHANGES + ") c WHERE change_type <> 'amend_date' GROUP BY pack_date")
+def impact_summary(spark, sf_dir):
+    """Articles touched by each pack, by kind, and the laws they are of."""
+    n = p3_found(spark, sf_dir).where("change_type <> 'amend_date'")
+    kinds = [F.count_if(F.col("change_type") == k).alias(k) for k in ("added", "amended", "removed")]
+    return n.groupBy("pack_date").agg(*kinds, F.countDistinct("pcode").alias("laws"))
+
+
+@query("nrm05_article_lengths", "SELECT pack_row, art, CAST(length(regexp_replace(arg_min(nfc_normalize(text), spelt), '[\\s\\p{Z}]+', '', 'g')) AS INT) AS n FROM (SELECT *, " + ARTICLE_SQL + " AS art FROM (SELECT *, " + ARTICLE_PARTS + " FROM (SELECT *, " + ARTICLE_PLAIN + " AS s FROM (SELECT pack_row, e.key AS spelt, e.value AS text FROM (SELECT pack_row, unnest(map_entries(articles)) AS e FROM (SELECT *, row_number() OVER (PARTITION BY pack_date, pcode ORDER BY loaded_at DESC, pack_row DESC) AS v FROM anchor_packs WHERE pcode IS NOT NULL AND pack_date IS NOT NULL) p WHERE v = 1) x) y) a) b) c WHERE text IS NOT NULL GROUP BY pack_row, art")
 def article_lengths(spark, sf_dir):
-    """Articles of the valid packs with their length without blanks."""
-    return pack_articles(table(spark, sf_dir, "anchor_packs")).select("pack_row", "art", F.length(tx.squeeze(F.col("text"))).alias("n"))
+    """Articles of the valid packs with their length in composed form without blanks."""
+    text = normal_form(F.col("text"), F.lit("NFC"))
+    return pack_articles(table(spark, sf_dir, "anchor_packs")).where("text is not null").select("pack_row", "art", F.length(tx.squeeze(text)).alias("n"))
 
 
-@query("nrm08_full_width_marks")
+@query("nrm08_full_width_marks", "SELECT * FROM (SELECT doc_id, " + FULL_WIDTH.replace("@@", "text") + " AS fixed, text FROM documents) x WHERE fixed <> text")
 def full_width_marks(spark, sf_dir):
-    """Stems whose half-width marks after ideographs become full-width."""
-    fixed = tx.full_width_marks(F.col("stem"))
-    return table(spark, sf_dir, "bank").where(fixed != F.col("stem")).select("row_id", fixed.alias("stem"))
+    """Documents whose half-width marks after ideographs become full-width."""
+    fixed = tx.full_width_marks(F.col("text"))
+    return table(spark, sf_dir, "documents").where(fixed != F.col("text")).select("doc_id", fixed.alias("fixed"), "text")
+
+
+_WIDE = "[\\x{3000}-\\x{303f}\\x{3400}-\\x{4dbf}\\x{4e00}-\\x{9fff}\\x{ff00}-\\x{ffef}]"
 
 
-@query("nrm06_joined_stems")
+@query("nrm06_joined_stems", f"SELECT row_id, trim(regexp_replace(regexp_replace(regexp_replace(stem, '[\\s\\p{{Z}}\\x{{85}}\\x{{b}}]+', ' ', 'g'), '({_WIDE}) ({_WIDE})', '\\1\\2', 'g'), '({_WIDE}) ({_WIDE})', '\\1\\2', 'g'), ' ') AS stem FROM bank WHERE stem IS NOT NULL")
 def joined_stems(spark, sf_dir):
     """Stems on one line, without blanks between wide characters."""
     return table(spark, sf_dir, "bank").where("stem is not null").select("row_id", tx.join_clean(F.col("stem")).alias("stem"))

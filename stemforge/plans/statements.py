@@ -25,7 +25,7 @@ def _key(c: str) -> str:
     return f"nullif(lower(regexp_replace(translate({c}, '{_WIDE}', '{_NARROW}'), '^[\\s\\x{{a0}}]+|[\\s\\x{{a0}}]+$', '', 'g')), '')"
 
 
-def _full_width(c: str) -> str:
+def full_width(c: str) -> str:
     for half, full in ((",", "，"), (";", "；"), (":", "："), ("!", "！"), ("\\?", "？")):
         c = f"regexp_replace({c}, '([一-鿿]){half}', '\\1{full}', 'g')"
     for _ in range(2):  # a point before a sign that the last match took
@@ -91,7 +91,7 @@ STATEMENTS: dict[str, str] = {
     "join22_shared_explanations": f"SELECT row_id, lead_row, members FROM (SELECT row_id, min(row_id) OVER (PARTITION BY fp) AS lead_row, count(*) OVER (PARTITION BY fp) AS members FROM (SELECT row_id, {_FULL} AS fp FROM bank WHERE stem IS NOT NULL AND group_id IS NULL) x) y WHERE members > 1",
     "nrm04_squeezed_length": "SELECT row_id, CAST(length(" + _squeeze("stem") + ") AS BIGINT) AS n FROM bank WHERE stem IS NOT NULL",
     "nrm07_answer_width": "SELECT row_id, translate(answer, 'ＡＢＣＤＥＦＧＨＩＪ０１２３４５６７８９', 'ABCDEFGHIJ0123456789') AS answer_key FROM bank WHERE answer IS NOT NULL",
-    "nrm11_line_ends": "SELECT expl_id, " + _full_width("rr(rr(replace(t, '\\n', chr(10)), '\r\n?', chr(10)), '\n+', chr(10) || chr(10))") + " AS t FROM explanations WHERE t IS NOT NULL",
+    "nrm11_line_ends": "SELECT expl_id, " + full_width("rr(rr(replace(t, '\\n', chr(10)), '\r\n?', chr(10)), '\n+', chr(10) || chr(10))") + " AS t FROM explanations WHERE t IS NOT NULL",
     "nrm18_roc_years": "SELECT row_id, year, CAST(year + 1911 AS BIGINT) AS ce_year FROM bank WHERE year IS NOT NULL",
     "nrm19_safe_names": "SELECT pack_row, trim(rr(law, '[^0-9A-Za-z_一-鿿]+', '_'), '_') AS safe FROM anchor_packs",
     "nrm20_visible_text": "SELECT expl_id, rr(rr(chr(10) || t || chr(10) || '&' || chr(10) || '<end>', '[ \t]*\n\\s*', chr(10)), '^\\s+|\\s+$', '') AS text FROM explanations WHERE t IS NOT NULL AND NOT contains(t, '<') AND NOT contains(t, '&')",
