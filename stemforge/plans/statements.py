@@ -13,11 +13,11 @@ _WIDE = "".join(chr(0xFF01 + i) for i in range(94)) + "　"
 _NARROW = "".join(chr(0x21 + i) for i in range(94)).replace("'", "''") + " "
 
 
-def _squeeze(c: str) -> str:
+def squeeze(c: str) -> str:
     return f"rr({c}, '{_BLANKS}', '')"
 
 
-def _paper(prefix: str = "") -> str:
+def paper(prefix: str = "") -> str:
     return f"regexp_extract({prefix}qid, '^(.*)_[0-9]+$', 1)"
 
 
@@ -38,8 +38,8 @@ def _fields(rows: str) -> str:
 
 
 _FURNITURE = "rl(x, '考科|試題|題本|卷別|翻頁|^ *第[ 0-9]+頁[ \r]*$')"
-_CONTENT = f"{_squeeze('stem')} || chr(1) || array_to_string(list_sort(list_transform(coalesce(map_values(options), []), lambda o: {_squeeze("coalesce(o, '')")})), chr(1))"
-_FULL = f"concat_ws(chr(2), {_CONTENT}, coalesce(answer, ''), {_squeeze("coalesce(passage, '')")})"
+_CONTENT = f"{squeeze('stem')} || chr(1) || array_to_string(list_sort(list_transform(coalesce(map_values(options), []), lambda o: {squeeze("coalesce(o, '')")})), chr(1))"
+_FULL = f"concat_ws(chr(2), {_CONTENT}, coalesce(answer, ''), {squeeze("coalesce(passage, '')")})"
 _ODD = "(VALUES ('攺', '改'), ('攄', '據'), ('堍', '境'), ('碓', '確'), ('宄', '先')) c(odd, true_form)"
 _PAPER = "nullif(regexp_extract(qid, '^(.*)_[0-9]+$', 1), '')"
 _TRUE = "length(stem) - length(replace(stem, true_form, ''))"
@@ -70,17 +70,17 @@ STATEMENTS: dict[str, str] = {
     "drv17_sentinel": "SELECT q.qid FROM <q> q WHERE EXISTS (SELECT 1 FROM <q> p WHERE p.parse = 'review' AND p.subject IS NOT DISTINCT FROM q.subject AND p.year IS NOT DISTINCT FROM q.year)",
     "drv20_judged_by": "SELECT CASE WHEN a > 0 AND b > 0 THEN 'both' WHEN a > 0 THEN 'a_only' ELSE 'b_only' END AS side, count(*) AS n FROM (SELECT qid, sum(CASE WHEN user_id % 2 = 0 THEN 1 ELSE 0 END) AS a, sum(CASE WHEN user_id % 2 = 1 THEN 1 ELSE 0 END) AS b FROM answer_events WHERE qid IS NOT NULL GROUP BY qid) x GROUP BY 1",
     "drv22_digit_tails": "SELECT row_id FROM bank WHERE figure IS NOT NULL AND rc(right(stem, 30), '[0-9]') >= 5",
-    "drv28_started_prefixes": f"SELECT DISTINCT {_paper()} AS paper FROM bank WHERE {_paper()} <> '' AND {_paper()} NOT IN (SELECT {_paper()} FROM explanations WHERE qid IS NOT NULL)",
-    "dup01_fingerprints": f"SELECT row_id, length({_squeeze('stem')}) < 8 OR row_number() OVER (PARTITION BY {_CONTENT} ORDER BY year DESC NULLS LAST, row_id) = 1 AS keep FROM bank WHERE stem IS NOT NULL",
-    "dup02_session_exclusion": f"SELECT user_id, qid, k = 1 AS shown FROM (SELECT e.user_id, e.qid, row_number() OVER (PARTITION BY e.user_id, {_squeeze('q.stem')} ORDER BY e.qid) AS k FROM (SELECT DISTINCT user_id, qid FROM answer_events WHERE qid IS NOT NULL) e JOIN <q> q ON e.qid = q.qid WHERE length({_squeeze('q.stem')}) >= 13) x",
+    "drv28_started_prefixes": f"SELECT DISTINCT {paper()} AS paper FROM bank WHERE {paper()} <> '' AND {paper()} NOT IN (SELECT {paper()} FROM explanations WHERE qid IS NOT NULL)",
+    "dup01_fingerprints": f"SELECT row_id, length({squeeze('stem')}) < 8 OR row_number() OVER (PARTITION BY {_CONTENT} ORDER BY year DESC NULLS LAST, row_id) = 1 AS keep FROM bank WHERE stem IS NOT NULL",
+    "dup02_session_exclusion": f"SELECT user_id, qid, k = 1 AS shown FROM (SELECT e.user_id, e.qid, row_number() OVER (PARTITION BY e.user_id, {squeeze('q.stem')} ORDER BY e.qid) AS k FROM (SELECT DISTINCT user_id, qid FROM answer_events WHERE qid IS NOT NULL) e JOIN <q> q ON e.qid = q.qid WHERE length({squeeze('q.stem')}) >= 13) x",
     "dup03_document_copies": "SELECT min(doc_id) AS lead_doc, count(*) AS copies, count(DISTINCT source) AS sources FROM documents WHERE text IS NOT NULL GROUP BY sha256(text) HAVING count(*) > 1",
     "dup03_extended_fingerprints": f"SELECT min(row_id) AS lead_row, count(*) AS rows, count(DISTINCT qid) AS qids FROM bank WHERE stem IS NOT NULL GROUP BY {_FULL} HAVING count(*) > 1",
     "dup05_shared_files": "SELECT sha1, count(DISTINCT filename) AS names FROM figure_files GROUP BY sha1 HAVING count(DISTINCT filename) > 1",
-    "dup06_first_by_number": f"SELECT {_paper()} AS paper, no, min(row_id) AS first_row FROM bank WHERE no IS NOT NULL GROUP BY 1, 2",
+    "dup06_first_by_number": f"SELECT {paper()} AS paper, no, min(row_id) AS first_row FROM bank WHERE no IS NOT NULL GROUP BY 1, 2",
     "geo10_band_outliers": "SELECT regexp_extract(filename, '^([^_]*)', 1) AS prefix, count(*) FILTER (height < 70) AS short_, count(*) FILTER (height > 730) AS tall, count(*) AS files FROM figure_files GROUP BY 1",
-    "join01_semi_filter": f"SELECT q.row_id, q.qid FROM <q> q WHERE EXISTS (SELECT 1 FROM bank k WHERE k.answer_src = 'key_pdf' AND {_paper('k.')} = {_paper('q.')} AND k.no = q.no)",
+    "join01_semi_filter": f"SELECT q.row_id, q.qid FROM <q> q WHERE EXISTS (SELECT 1 FROM bank k WHERE k.answer_src = 'key_pdf' AND {paper('k.')} = {paper('q.')} AND k.no = q.no)",
     "join02_group_passages": "SELECT q.row_id, g.members, g.first_no FROM <q> q LEFT JOIN (SELECT group_id, count(*) AS members, min(no) AS first_no FROM <q> p WHERE group_id IS NOT NULL GROUP BY group_id) g ON q.group_id = g.group_id",
-    "join04_number_gaps": f"SELECT qid, no, nxt FROM (SELECT qid, no, lead(no) OVER (PARTITION BY {_paper()} ORDER BY no NULLS FIRST, qid) AS nxt FROM <q> q) x WHERE nxt > no + 1",
+    "join04_number_gaps": f"SELECT qid, no, nxt FROM (SELECT qid, no, lead(no) OVER (PARTITION BY {paper()} ORDER BY no NULLS FIRST, qid) AS nxt FROM <q> q) x WHERE nxt > no + 1",
     "join08_parity_grid": "SELECT g.arm, g.subject, coalesce(l.n, 0) AS n, coalesce(l.hits, 0) AS hits, CASE WHEN l.n IS NULL THEN 'missing' ELSE 'present' END AS state FROM (SELECT a.arm, s.subject FROM (SELECT 0 AS arm UNION ALL SELECT 1) a CROSS JOIN (SELECT DISTINCT subject FROM bank WHERE subject IS NOT NULL) s) g LEFT JOIN (SELECT CAST(e.user_id % 2 AS INT) AS arm, q.subject, count(*) AS n, CAST(sum(CASE WHEN e.correct THEN 1 ELSE 0 END) AS BIGINT) AS hits FROM answer_events e JOIN <q> q ON e.qid = q.qid GROUP BY 1, 2) l ON g.arm = l.arm AND g.subject = l.subject",
     "join09_figure_both_ways": "WITH f AS (SELECT " + _key("filename") + " AS name, sha1 FROM figure_files), b AS (SELECT DISTINCT " + _key("figure") + " AS name FROM bank) SELECT 'file_without_row' AS side, count(DISTINCT name) AS n FROM f WHERE name IS NOT NULL AND name NOT IN (SELECT name FROM b WHERE name IS NOT NULL) UNION ALL SELECT 'row_without_file', count(*) FROM b WHERE name IS NOT NULL AND name NOT IN (SELECT name FROM f WHERE name IS NOT NULL) UNION ALL SELECT 'shared_content', count(*) FROM (SELECT sha1 FROM f WHERE name IS NOT NULL GROUP BY sha1 HAVING count(DISTINCT name) > 1) s",
     "join12_stale_stamps": "SELECT CASE WHEN e.src_fp IS NULL THEN 'unstamped' WHEN q.qid IS NULL THEN 'no_source' WHEN e.src_fp = substr(sha256(coalesce(q.stem, '')), 1, 12) THEN 'current' ELSE 'stale' END AS state, count(*) AS n FROM explanations e LEFT JOIN <q> q ON e.qid = q.qid GROUP BY 1",
@@ -89,7 +89,7 @@ STATEMENTS: dict[str, str] = {
     "join20_name_suffixes": "SELECT a.law AS longer, b.law AS shorter FROM (SELECT DISTINCT law FROM anchor_packs) a JOIN (SELECT DISTINCT law FROM anchor_packs) b ON length(a.law) > length(b.law) AND b.law <> '' AND suffix(a.law, b.law)",
     "join21_top_relations": "SELECT user_id, qid, CAST(pos AS BIGINT) AS pos, n FROM (SELECT user_id, qid, n, row_number() OVER (PARTITION BY user_id ORDER BY n DESC, qid) AS pos FROM (SELECT user_id, qid, count(*) AS n FROM answer_events WHERE qid IS NOT NULL GROUP BY user_id, qid) c) x WHERE pos <= 4",
     "join22_shared_explanations": f"SELECT row_id, lead_row, members FROM (SELECT row_id, min(row_id) OVER (PARTITION BY fp) AS lead_row, count(*) OVER (PARTITION BY fp) AS members FROM (SELECT row_id, {_FULL} AS fp FROM bank WHERE stem IS NOT NULL AND group_id IS NULL) x) y WHERE members > 1",
-    "nrm04_squeezed_length": "SELECT row_id, CAST(length(" + _squeeze("stem") + ") AS BIGINT) AS n FROM bank WHERE stem IS NOT NULL",
+    "nrm04_squeezed_length": "SELECT row_id, CAST(length(" + squeeze("stem") + ") AS BIGINT) AS n FROM bank WHERE stem IS NOT NULL",
     "nrm07_answer_width": "SELECT row_id, translate(answer, 'ＡＢＣＤＥＦＧＨＩＪ０１２３４５６７８９', 'ABCDEFGHIJ0123456789') AS answer_key FROM bank WHERE answer IS NOT NULL",
     "nrm11_line_ends": "SELECT expl_id, " + full_width("rr(rr(replace(t, '\\n', chr(10)), '\r\n?', chr(10)), '\n+', chr(10) || chr(10))") + " AS t FROM explanations WHERE t IS NOT NULL",
     "nrm18_roc_years": "SELECT row_id, year, CAST(year + 1911 AS BIGINT) AS ce_year FROM bank WHERE year IS NOT NULL",
@@ -129,12 +129,12 @@ STATEMENTS: dict[str, str] = {
     "src12_newest_hit": "SELECT qid, expl_id FROM (SELECT qid, expl_id, row_number() OVER (PARTITION BY qid ORDER BY merged_at DESC, expl_id DESC) AS k FROM explanations WHERE t IS NOT NULL AND qid IS NOT NULL) x WHERE k = 1",
     "srt02_sorted_sets": "SELECT subject, coalesce(array_to_string(list_sort(list(DISTINCT year) FILTER (year IS NOT NULL)), ','), '') AS years FROM bank GROUP BY subject",
     "srt04_listing_with_rest": "SELECT subject, qid, CAST(k AS BIGINT) AS k, hidden FROM (SELECT subject, qid, row_number() OVER (PARTITION BY subject ORDER BY qid) AS k, greatest(count(*) OVER (PARTITION BY subject) - 10, 0) AS hidden FROM <q> q WHERE parse <> 'ok') x WHERE k <= 10",
-    "win01_anchor_fill": f"SELECT qid, last_value(CASE WHEN NOT rl(stem, '承上題|承前題|上題中|前題') THEN no END IGNORE NULLS) OVER (PARTITION BY {_paper()} ORDER BY no, qid ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS anchor FROM <q> q WHERE stem IS NOT NULL AND no IS NOT NULL",
-    "win03_cooldown": f"WITH s AS (SELECT e.user_id, e.qid, max(e.ts) AS last_ts, any_value({_squeeze('q.stem')}) AS fp FROM answer_events e JOIN <q> q ON e.qid = q.qid WHERE q.stem IS NOT NULL GROUP BY e.user_id, e.qid), r AS (SELECT DISTINCT user_id, fp FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY last_ts DESC NULLS LAST, qid) AS k FROM s) x WHERE k <= 30), p AS (SELECT s.*, EXISTS (SELECT 1 FROM r WHERE r.user_id = s.user_id AND r.fp = s.fp) AS hot FROM s), o AS (SELECT user_id, count(*) FILTER (NOT hot) AS open_n FROM p GROUP BY user_id) SELECT user_id, qid, open_n = 0 AS fallback FROM p JOIN o USING (user_id) WHERE NOT hot OR open_n = 0",
+    "win01_anchor_fill": f"SELECT qid, last_value(CASE WHEN NOT rl(stem, '承上題|承前題|上題中|前題') THEN no END IGNORE NULLS) OVER (PARTITION BY {paper()} ORDER BY no, qid ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS anchor FROM <q> q WHERE stem IS NOT NULL AND no IS NOT NULL",
+    "win03_cooldown": f"WITH s AS (SELECT e.user_id, e.qid, max(e.ts) AS last_ts, any_value({squeeze('q.stem')}) AS fp FROM answer_events e JOIN <q> q ON e.qid = q.qid WHERE q.stem IS NOT NULL GROUP BY e.user_id, e.qid), r AS (SELECT DISTINCT user_id, fp FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY last_ts DESC NULLS LAST, qid) AS k FROM s) x WHERE k <= 30), p AS (SELECT s.*, EXISTS (SELECT 1 FROM r WHERE r.user_id = s.user_id AND r.fp = s.fp) AS hot FROM s), o AS (SELECT user_id, count(*) FILTER (NOT hot) AS open_n FROM p GROUP BY user_id) SELECT user_id, qid, open_n = 0 AS fallback FROM p JOIN o USING (user_id) WHERE NOT hot OR open_n = 0",
     "win05_chunks": "SELECT qid, CAST(floor((k - 1) / CASE WHEN fig THEN 12 ELSE 20 END) AS BIGINT) AS chunk FROM (SELECT qid, coalesce(needs_figure, FALSE) AS fig, row_number() OVER (PARTITION BY subject, coalesce(needs_figure, FALSE) ORDER BY year NULLS LAST, no NULLS LAST, qid) AS k FROM <q> q) x",
     "win06_last_ten_years": "SELECT subject, year, count(*) AS n FROM (SELECT subject, year, dense_rank() OVER (PARTITION BY subject ORDER BY year DESC) AS k FROM <q> q WHERE year IS NOT NULL) x WHERE k <= 10 GROUP BY subject, year",
     "win07_interleave": "SELECT arm, qid, CAST(2 * (k - 1) + arm AS BIGINT) AS slot FROM (SELECT CAST(no % 2 AS INT) AS arm, qid, row_number() OVER (PARTITION BY subject, CAST(no % 2 AS INT) ORDER BY year NULLS LAST, no, qid) AS k FROM <q> q WHERE no IS NOT NULL) x",
-    "win08_next_item": f"SELECT qid, lead(no) OVER (PARTITION BY {_paper()} ORDER BY no NULLS FIRST, qid) AS next_no FROM <q> q",
+    "win08_next_item": f"SELECT qid, lead(no) OVER (PARTITION BY {paper()} ORDER BY no NULLS FIRST, qid) AS next_no FROM <q> q",
     "win10_freshness": "SELECT expl_id, CASE WHEN merged_at < (SELECT max(merged_at) FROM explanations) - INTERVAL 180 DAY THEN 'unknown' ELSE c END AS c FROM explanations",
 }
 SQL = {k: duck_sql(s) for k, s in STATEMENTS.items()}

@@ -66,6 +66,7 @@ def test_names_are_found_as_by_the_alternation():
 def test_citations_of_laws_beyond_the_former_bound(spark, save):
     rows = [(i, dt.date(2024, 1, 1), f"{chr(0x4E00 + i // 1000)}{chr(0x5E00 + i % 1000)}法", f"X{i}", None, {"1": "a"}, DAY) for i in range(20_100)]
     save("anchor_packs", rows, PACK)
+    save("explanations", [(1, None)], "expl_id bigint, t string")
     path = save("documents", [(1, rows[-1][2] + "第1條"), (2, rows[-1][2] + "第2條")], "doc_id bigint, text string")
     got = registry.QUERIES["join05_citation_verdicts"](spark, path).collect()
     assert sorted((r["law"], r["status"], r["refs"]) for r in got) == [(rows[-1][2], "fail", 1), (rows[-1][2], "ok", 1)]
