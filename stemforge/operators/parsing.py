@@ -49,9 +49,9 @@ def group_headers(text: Column) -> Column:
 
 def group_members(texts: DataFrame, key: str, text: str, limit: int = CASE_SPAN) -> DataFrame:
     """(key, no, a, b, passage): the group of each number; the last header wins. Groups that run backwards or over more than ``limit`` numbers are left out."""
-    g = texts.select(key, F.posexplode(group_headers(F.col(text))).alias("k", "g")).select(key, "k", "g.*").where((F.col("a") <= F.col("b")) & (F.col("b") - F.col("a") < limit))
-    each = g.select(key, F.explode(F.sequence("a", "b")).alias("no"), F.struct("k", "a", "b", "passage").alias("g"))
-    return each.groupBy(key, "no").agg(F.max_by("g", "g.k").alias("g")).select(key, "no", "g.a", "g.b", "g.passage")
+    g = texts.select(key, F.posexplode(group_headers(F.col(text))).alias("_k", "_g")).where((F.col("_g.a") <= F.col("_g.b")) & (F.col("_g.b") - F.col("_g.a") < limit))
+    each = g.select(key, F.explode(F.sequence("_g.a", "_g.b")).alias("_no"), "_k", "_g")
+    return each.groupBy(key, F.col("_no").alias("no")).agg(F.max_by("_g", "_k").alias("_g")).select(key, "no", "_g.a", "_g.b", "_g.passage")
 
 
 def split_questions(texts: DataFrame, key: str, text: str) -> DataFrame:
