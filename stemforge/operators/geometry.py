@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Margins and limits of a page, in points.
-LEFT, HEADER, FOOTER, PAD, SLACK = 92.0, 78.0, 30.0, 6.0, 24.0
+# Margins and limits of a page, in points; scores of a band with a figure; headings of sections and heads of groups.
+LEFT, FOOTER, PAD, SLACK, COLUMN = 92.0, 30.0, 6.0, 24.0, 40.0
+FIGURE_SCORE = 10
+SECTION_HEADING = r"^\s*(?:第[一二三四五六七八九十壹貳參]部分|[一二三四五六七八九十]+、)"
+GROUP_HEAD = r"^\s*(\d+)\s*[-－–~至]\s*(\d+)\s*(?:題)?\s*為題組"
 
 
 def anchors(spans: DataFrame) -> DataFrame:
@@ -40,3 +43,46 @@ def snap_above(hints: DataFrame, marks: DataFrame, tolerance: float = 2.0) -> Da
 
 def reading_order(spans: DataFrame) -> DataFrame:
     return spans.withColumn("pos", F.row_number().over(Window.partitionBy("doc").orderBy("page", "y0", "x0")))
+
+
+def char_boxes(spans: DataFrame) -> DataFrame:
+    """(doc, page, y0, pos, ch, x0, x1): each character of a span with its share of the span's width."""
+    step = (F.col("x1") - F.col("sx")) / F.length("text")
+    rows = spans.where("length(text) > 0").select("doc", "page", "y0", F.col("x0").alias("sx"), "x1", "text", F.posexplode(F.split("text", "")).alias("pos", "ch")).where("ch <> ''")
+    return rows.select("doc", "page", "y0", "pos", "ch", (F.col("sx") + step * F.col("pos")).alias("x0"), (F.col("sx") + step * (F.col("pos") + 1)).alias("x1"))
+
+
+def heading_limits(spans: DataFrame) -> DataFrame:
+    """(doc, page, y): the first section heading at the left margin of each page."""
+    return spans.where((F.col("x0") < LEFT) & F.col("text").rlike(SECTION_HEADING)).groupBy("doc", "page").agg(F.min("y0").alias("y"))
+
+
+def group_heads(spans: DataFrame) -> DataFrame:
+    """(doc, page, y, a, b): heads of groups, with any separator."""
+    part = lambda i: F.regexp_extract("text", GROUP_HEAD, i).cast("int")
+    return spans.where(F.col("text").rlike(GROUP_HEAD)).select("doc", "page", F.col("y0").alias("y"), part(1).alias("a"), part(2).alias("b"))
+
+
+def next_below(items: DataFrame, tolerance: float = 2.0) -> DataFrame:
+    """items (doc, page, x0, y0, no) with the top of the next item of the same column (COLUMN points wide) that begins more than ``tolerance`` lower."""
+    col, at = F.floor(F.col("x0") / COLUMN), F.round(F.col("y0") * 1000).cast("bigint")
+    tops = items.groupBy("doc", "page", col.alias("_c"), at.alias("_y")).agg(F.min("y0").alias("y"))
+    w = Window.partitionBy("doc", "page", "_c").orderBy("_y").rangeBetween(round(tolerance * 1000) + 1, Window.unboundedFollowing)
+    nxt = tops.select("doc", "page", "_c", "_y", F.min("y").over(w).alias("next_y"))
+    return items.withColumn("_c", col).withColumn("_y", at).join(nxt, ["doc", "page", "_c", "_y"]).select(*items.columns, "next_y")
+
+
+def captions_in(figures: DataFrame, captions: DataFrame) -> DataFrame:
+    """(doc, page, figure, inside, cut): captions whose box lies within a figure's, and those that it only cuts. Boxes meet by the bands of 50 points they touch."""
+    band = lambda df: df.withColumn("_b", F.explode(F.sequence(F.floor(F.col("y0") / 50), F.floor(F.col("y1") / 50))))
+    c = band(captions.select("doc", "page", F.col("id").alias("cid"), F.col("x0").alias("cx0"), F.col("y0"), F.col("x1").alias("cx1"), F.col("y1")).withColumns({"cy0": F.col("y0"), "cy1": F.col("y1")})).drop("y0", "y1")
+    j = band(figures).join(c, ["doc", "page", "_b"]).where("cx0 < x1 and cx1 > x0 and cy0 < y1 and cy1 > y0").dropDuplicates(["doc", "page", "id", "cid"])
+    inside = (F.col("cx0") >= F.col("x0")) & (F.col("cx1") <= F.col("x1")) & (F.col("cy0") >= F.col("y0")) & (F.col("cy1") <= F.col("y1"))
+    return j.groupBy("doc", "page", F.col("id").alias("figure")).agg(F.count_if(inside).alias("inside"), F.count_if(~inside).alias("cut"))
+
+
+def figure_name_parts(name: Column) -> Column:
+    """STRUCT<year, round, a, b> of a figure's name: G94_100176_g14_15.png of a group, G94_100176_q36.png of a question."""
+    pattern = r"^[A-Z](\d+)_(\d{6})_(?:g(\d+)_(\d+)|q(\d+))"
+    n = lambda i: F.nullif(F.regexp_extract(name, pattern, i), F.lit("")).cast("int")
+    return F.struct(n(1).alias("year"), F.regexp_extract(name, pattern, 2).alias("round"), F.coalesce(n(3), n(5)).alias("a"), F.coalesce(n(4), n(5)).alias("b"))

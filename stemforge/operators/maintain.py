@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,13 +44,14 @@ def splice(text: Column, index: Column, paragraph: Column) -> Column:
 def staged_write(df: DataFrame, path: str, keys: list[str] | None = None) -> None:
     """Write a parquet table in place of another: checked in a staging folder first, then renamed.
 
-    Refuses an empty result and repeated keys, before anything is replaced; the table replaced stays as ``path.bak``.
+    Refuses an empty result and repeated keys, before anything is replaced. The table replaced stays as ``path.bak1``,
+    ``path.bak2`` and so on; no backup is ever overwritten, and where the new table can't take its place the old one returns.
     """
     spark = df.sparkSession
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     P = jvm.org.apache.hadoop.fs.Path
     fs = P(path).getFileSystem(conf)
-    stage, back = P(path + ".staging"), P(path + ".bak")
+    stage = P(path + ".staging")
     df.write.mode("overwrite").parquet(path + ".staging")
     made = spark.read.parquet(path + ".staging")
     if made.isEmpty():
@@ -57,7 +60,11 @@ def staged_write(df: DataFrame, path: str, keys: list[str] | None = None) -> Non
     if keys and not made.groupBy(*keys).count().where("count > 1").isEmpty():
         fs.delete(stage, True)
         raise ValueError(f"repeated keys {keys}: {path} stays")
+    back = None
     if fs.exists(P(path)):
-        fs.delete(back, True)
+        back = next(b for b in (P(f"{path}.bak{k}") for k in itertools.count(1)) if not fs.exists(b))
         fs.rename(P(path), back)
-    fs.rename(stage, P(path))
+    if not fs.rename(stage, P(path)):
+        if back is not None:
+            fs.rename(back, P(path))
+        raise OSError(f"{path} couldn't be replaced")

@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 
 def json_files(spark: SparkSession, path: str) -> DataFrame:
     """(file, doc VARIANT, bad): one row per file of a folder; a half-written or foreign file has a null doc and bad = true."""
-    text = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
-    doc = F.try_parse_json("value")
-    return text.select("file", doc.alias("doc"), doc.isNull().alias("bad"))
+    return json_docs(spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value"))
+
+
+def json_docs(texts: DataFrame) -> DataFrame:
+    """(file, doc VARIANT, bad) of texts (file, value)."""
+    return texts.select("file", F.try_parse_json("value").alias("doc"), F.try_parse_json("value").isNull().alias("bad"))
 
 
 def json_items(files: DataFrame) -> DataFrame:
@@ -24,8 +27,18 @@ def json_items(files: DataFrame) -> DataFrame:
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, line_no, line) in file order."""
-    text = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
-    return text.select("file", F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line"))
+    return lines_of(spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value"))
+
+
+def lines_of(texts: DataFrame) -> DataFrame:
+    """(file, line_no, line) of texts (file, value)."""
+    return texts.select("file", F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line"))
+
+
+def draft_items(texts: DataFrame, header: str = "Q:") -> DataFrame:
+    """(file, qid, text) of drafts whose items begin with a header line ``Q: id``; what stands before the first is left out."""
+    parts = F.slice(F.split("value", rf"(?m)^{header}[ \t]*"), 2, 1_000_000)
+    return texts.select("file", F.explode(parts).alias("p")).select("file", F.trim(F.regexp_extract("p", r"^([^\n]*)", 1)).alias("qid"), F.regexp_replace(F.regexp_replace("p", r"^[^\n]*\n?", ""), r"\s+$", "").alias("text"))
 
 
 def table_cells(lines: DataFrame) -> DataFrame:

@@ -1,16 +1,17 @@
 """Streaming extensions: deliveries as a stream (not part of the batch parity).
 
-Repeated events are dropped within the watermark, and micro-batches upsert into a table by a staged write. Batches
-are numbered, so a batch that is run again after a failure replaces its own rows and nothing is counted twice.
+Repeated events are dropped within the watermark, and each micro-batch is written as a part of its own, named by its
+number. A batch that is run again after a failure replaces its own part and nothing is counted twice; nothing else is
+rewritten, and the current rows are the last of each key over all parts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from stemforge.operators.maintain import staged_write, upsert
+from stemforge.operators.snapshots import latest_rows
 
 
 def once(events: DataFrame, key: str, at: str, delay: str = "1 day") -> DataFrame:
@@ -24,14 +25,14 @@ def windowed_scores(events: DataFrame, at: str, delay: str = "1 hour", width: st
 
 
 def upsert_stream(events: DataFrame, path: str, key: str, order: list[str], checkpoint: str) -> StreamingQuery:
-    """Upsert each micro-batch into the parquet table at ``path``."""
+    """Upsert each micro-batch into the parquet table at ``path``, which ``current`` reads: of a batch, the last row of each key."""
 
-    def batch(df: DataFrame, _: int) -> None:
-        spark = df.sparkSession
-        fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-        if df.isEmpty():
-            return
-        old = spark.read.parquet(path) if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(path)) else df.limit(0)
-        staged_write(upsert(old, df, key, order).drop("state"), path, [key])
+    def batch(df: DataFrame, number: int) -> None:
+        latest_rows(df.where(F.col(key).isNotNull()), [key], order).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return events.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def current(spark: SparkSession, path: str, key: str, order: list[str]) -> DataFrame:
+    """The last row of each key over all batches, by ``order`` and then the batch."""
+    return latest_rows(spark.read.parquet(path), [key], [*order, "batch"]).drop("batch")

@@ -159,7 +159,9 @@ def test_maintenance(spark, tmp_path):
     path = str(tmp_path / "t")
     maintain.staged_write(old, path, ["k"])
     maintain.staged_write(old.where("k = 'a'"), path, ["k"])
-    assert spark.read.parquet(path).count() == 1 and spark.read.parquet(path + ".bak").count() == 2
+    maintain.staged_write(new.where("v = 3"), path, ["k"])
+    maintain.staged_write(old.where("k = 'a'"), path, ["k"])
+    assert [spark.read.parquet(path + b).first()["k"] for b in ("", ".bak2", ".bak3")] == ["a", "a", "b"] and spark.read.parquet(path + ".bak1").count() == 2
     for bad in (old.limit(0), new.where("k = 'b'")):
         with pytest.raises(ValueError):
             maintain.staged_write(bad, path, ["k"])

@@ -31,6 +31,7 @@ def bank_rows():
         {"stem": "承上題，何者錯誤？", "options": {"A": "甲", "C": "丙"}},
         {"stem": None, "options": None, "answer": "ＡＣ", "accept": ["A", "C"]},
         {"stem": "", "options": {}, "answer": "／"},
+        {"stem": "改後？", "options": {"A": "甲"}, "no": 13},
     ]
     out = []
     for i, k in enumerate(kinds):
@@ -46,7 +47,7 @@ def planted(spark, tmp_path_factory):
     save = lambda name, rows, kind: spark.createDataFrame(rows, kind).coalesce(1).write.parquet(f"{path}/{name}.parquet")
     save("bank", bank_rows(), BANK)
     texts = ["正解：(A)。\n\n解析。\n\n本題考點：甲。", "解析。以上解析僅供參考。", "解析，信心為中。", None, "中文,半形.結束", "故選(B)。\r\n甲。"]
-    save("explanations", [(i, f"卷_{i}", t, "high", DAY) for i, t in enumerate(texts)], "expl_id bigint, qid string, t string, c string, merged_at timestamp_ntz")
+    save("explanations", [*((i, f"卷_{i}", t, "high", DAY) for i, t in enumerate(texts)), (13, "卷_13", "(A) 甲。(B) 乙。", "low", DAY)], "expl_id bigint, qid string, t string, c string, merged_at timestamp_ntz")
     save("anchor_packs", [(1, "民法"), (2, "丁民法"), (3, "甲乙民法"), (4, "_民法_！"), (5, None)], "pack_row bigint, law string")
     save("figure_files", [("a.png", "s"), ("b.png", "s"), ("x.png", "u")], "filename string, sha1 string")
     save("documents", [(1, "甲,乙.丙"), (2, "a,b"), (3, None)], "doc_id bigint, text string")
@@ -56,7 +57,7 @@ def planted(spark, tmp_path_factory):
 NAMES = [
     "prd07_anomalous_signs", "prd11_boilerplate", "prd12_leaked_confidence", "prd13_half_marks", "prd14_equal_options", "prd15_repeated_marks", "prd17_text_after_mark", "prd18_marks_in_order", "prd19_quote_balance",
     "prd20_option_bleed", "prd22_orphan_units", "prd24_option_furniture", "drv22_digit_tails", "join04_number_gaps", "join20_name_suffixes", "dup05_shared_files", "nrm08_full_width_marks", "nrm19_safe_names", "prd10_conclusion",
-    "prd08_structure", "par09_question_types", "agg03_paper_completeness", "nrm07_answer_width", "join09_figure_both_ways", "par12_answer_remarks",
+    "prd08_structure", "par09_question_types", "agg03_paper_completeness", "nrm07_answer_width", "join09_figure_both_ways", "par12_answer_remarks", "drv09_recheck", "set07_unregistered_keys",
 ]
 
 
@@ -99,7 +100,7 @@ def test_group_headers(spark):
     text = "3-5 為題組\n文一\n3. 問\n為題組\n8-9\n文二\n◎ 引文\n8. 問\n11－12\n為 題 組\n文三\n20-90為題組\n文四\n"
     df = spark.createDataFrame([("p", text)], "k string, t string")
     got = {r["no"]: (r["a"], r["b"], r["passage"]) for r in parsing.group_members(df, "k", "t").collect()}
-    assert got == {**{n: (3, 5, "文一") for n in (3, 4, 5)}, **{n: (8, 9, "文二◎ 引文") for n in (8, 9)}, **{n: (11, 12, "文三") for n in (11, 12)}}
+    assert got == {**{n: (3, 5, "文一") for n in (3, 4, 5)}, **{n: (8, 9, "文二 ◎ 引文") for n in (8, 9)}, **{n: (11, 12, "文三") for n in (11, 12)}}
 
 
 def test_split_questions(spark):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from stemforge.operators import geometry
 from stemforge.sources import landing
-from stemforge.streaming.deliveries import once, upsert_stream
+from stemforge.streaming.deliveries import current, once, upsert_stream
 
 
 def test_json_landing(spark, tmp_path):
@@ -47,7 +47,10 @@ def test_streams(spark, tmp_path):
     assert spark.table("once_out").count() == 2
     q = upsert_stream(stream, str(tmp_path / "out"), "k", ["v"], str(tmp_path / "c2"))
     q.awaitTermination(120)
-    assert sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).select("k", "v").collect()) == [("a", 1), ("b", 2)]
+    out = str(tmp_path / "out")
+    assert sorted(tuple(r) for r in current(spark, out, "k", ["v"]).select("k", "v").collect()) == [("a", 1), ("b", 2)]
+    spark.createDataFrame([("b", 5)], "k string, v int").write.parquet(f"{out}/batch=7")
+    assert sorted(tuple(r) for r in current(spark, out, "k", ["v"]).select("k", "v").collect()) == [("a", 1), ("b", 5)]
 
 
 def test_binary_files(spark, tmp_path):
