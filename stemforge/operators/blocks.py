@@ -28,6 +28,10 @@ def expand_pairs(pairs: DataFrame, members: DataFrame, key: str, item: str, bloc
     """
     members = members.where(F.col(key).isNotNull() & F.col(item).isNotNull()).select(F.col(key).alias("_k"), F.col(item).alias("_m"))
     hot = members.groupBy("_k").agg(F.ceil(F.count("*") / block).cast("int").alias("_n")).where("_n > 1")
+    if hot.isEmpty():  # nothing to split: two joins
+        left, right = (members.select(F.col("_k").alias(side), F.col("_m").alias(name)) for side, name in (("a", "_x"), ("b", "_y")))
+        out = pairs.join(left, "a").join(right, "b").where("a <> b or _x < _y")
+        return out.select(F.col("_x").alias("a"), F.col("_y").alias("b"))
     one = F.coalesce(F.col("_n"), F.lit(1))
     cells = members.join(hot, "_k", "left").select("_k", F.pmod(F.xxhash64("_m"), one).cast("int").alias("_b"), "_m")
     for side, at in (("a", "_i"), ("b", "_j")):
