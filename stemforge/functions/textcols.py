@@ -17,6 +17,7 @@ FOLLOW_UP_WORDS = "承上題|承前題|上題中|前題"
 NEGATIVE_WORDS = "何者錯誤|何者有誤|何者不正確|何者不適當|不正確的是|錯誤的是"
 HEDGE_WORDS = "信心|把握|可信度"
 LEVEL_WORDS = "高|中|低|不足|有限"
+GAP_WORDS = "看不到|未提供|為空|無法核對|缺圖|未附"
 BOILERPLATE = "僅供參考|以上解析|如有疑義|請以官方"
 #: Full-width letters and digits of answers, and their half-width forms.
 WIDE = "ＡＢＣＤＥＦＧＨＩＪ０１２３４５６７８９"
@@ -54,6 +55,13 @@ def tidy_gates(c: Column) -> Column:
     return full_width_marks(F.regexp_replace(c, r"\n{3,}", "\n\n"))
 
 
+def paragraphs_or_same(c: Column) -> Column:
+    """Single line ends become paragraph breaks where every line but the last ends like a sentence, so that a line is a paragraph; a text whose structure isn't recognised stays as it is."""
+    lines = F.filter(F.split(c, "\n"), lambda x: F.trim(x) != "")
+    known = F.forall(F.slice(lines, 1, F.greatest(F.size(lines) - 1, F.lit(0))), lambda x: x.rlike("[。！？：；][\\s　]*$"))
+    return F.when(known, F.array_join(lines, "\n\n")).otherwise(c)
+
+
 def safe_name(c: Column) -> Column:
     return F.btrim(F.regexp_replace(c, r"[^0-9A-Za-z_一-鿿]+", "_"), F.lit("_"))
 
@@ -143,6 +151,36 @@ def text_after_question(c: Column) -> Column:
     return c.rlike("？[^？\n）」 　\r]")
 
 
+def bare_latex(c: Column) -> Column:
+    """Formulas set as LaTeX that have only digits, signs and charges, which plain sub- and superscripts can show."""
+    return F.filter(F.regexp_extract_all(c, F.lit(r"\\\(\s*(.+?)\s*\\\)"), F.lit(1)), lambda x: x.rlike(r"^(?:\\times|[\d\s.,=＝+\-×÷/^{}])+$"))
+
+
+def basis_of(basis: Column, evidence: Column, fields: Column, rationale: Column) -> Column:
+    """A content_error whose evidence field isn't in the payload, or that speaks of something it couldn't see, is an input_gap."""
+    gap = ~F.coalesce(F.array_contains(fields, evidence), F.lit(False)) | F.coalesce(rationale.rlike(GAP_WORDS), F.lit(False))
+    return F.when((basis == "content_error") & gap, "input_gap").otherwise(basis)
+
+
+def multiset_within(part: Column, whole: Column) -> Column:
+    """Each character of ``part`` is there at least as often in ``whole``."""
+    signs = lambda c: F.filter(F.split(c, ""), lambda x: x != "")
+    n = lambda c, x: F.length(c) - F.length(F.replace(c, x, F.lit("")))
+    return F.forall(F.array_distinct(signs(part)), lambda x: n(part, x) <= n(whole, x))
+
+
+def locate(page: Column, needle: Column, longest: int = 30, unique: int = 10, least: int = 6) -> Column:
+    """STRUCT<chars, at>: the longest beginning of the needle, of 30 to 10 characters, that is on the page once; else of 30 to 6, at its first place. Blanks don't count."""
+    p, n = squeeze(page), squeeze(needle)
+    top = F.least(F.length(n), F.lit(longest))
+    tries = lambda lo: F.when(top >= lo, F.sequence(top, F.lit(lo), F.lit(-1))).otherwise(F.array().cast("array<int>"))
+    at = lambda k: F.instr(p, F.substring(n, F.lit(1), k))
+    once = F.filter(tries(unique), lambda k: (at(k) > 0) & (F.instr(F.substring(p, at(k) + 1, F.length(p)), F.substring(n, F.lit(1), k)) == 0))
+    any_ = F.filter(tries(least), lambda k: at(k) > 0)
+    k = F.coalesce(F.get(once, 0), F.get(any_, 0))
+    return F.struct(k.alias("chars"), F.when(k.isNotNull(), at(k)).alias("at"))
+
+
 def marks_in_order(markers: Column) -> Column:
     """Option marks are A, B, C ... without gap or repetition."""
     return markers == F.slice(F.split(F.lit("ABCDEFGHIJ"), ""), 1, F.size(markers))

@@ -84,3 +84,14 @@ def asof_before(left: DataFrame, right: DataFrame, by: str, at: str, value: str)
     inside = F.last("_v", True).over(Window.partitionBy(by, "_day").orderBy(at, "_side").rowsBetween(Window.unboundedPreceding, 0))
     out = both.withColumn("_inside", inside).where("_side = 1").join(carry.select(by, "_day", "_carry"), [by, "_day"])
     return out.select(*cols, F.coalesce("_inside", "_carry").alias(value))
+
+
+def grade(chosen: Column, answer: Column, accept: Column, status: Column, several: str = "exact") -> Column:
+    """Whether a chosen set of letters is right: official by the answer, multi by any of accept, free always; null where the status can't be graded.
+
+    ``several`` says what an official answer of several letters means, which is never inferred: exact (all of them) or any.
+    """
+    if several not in ("exact", "any"):
+        raise ValueError(several)
+    same = chosen == answer if several == "exact" else F.contains(answer, chosen)
+    return F.when(status == "official", same).when(status == "multi", F.coalesce(F.array_contains(accept, chosen), F.lit(False))).when(status == "free", F.lit(True))

@@ -86,3 +86,28 @@ def figure_name_parts(name: Column) -> Column:
     pattern = r"^[A-Z](\d+)_(\d{6})_(?:g(\d+)_(\d+)|q(\d+))"
     n = lambda i: F.nullif(F.regexp_extract(name, pattern, i), F.lit("")).cast("int")
     return F.struct(n(1).alias("year"), F.regexp_extract(name, pattern, 2).alias("round"), F.coalesce(n(3), n(5)).alias("a"), F.coalesce(n(4), n(5)).alias("b"))
+
+
+def to_lines(small: DataFrame, lines: DataFrame) -> DataFrame:
+    """small (doc, page, id, y0, y1, ...) with the line (line, mid) whose vertical centre is nearest, and its place: above the centre ``sup``, below ``sub``, else ``base``.
+
+    The nearest line is the last at or above or the first below, so one ordered window over both sides does. A third of a line's height is base.
+    """
+    mid = (F.col("y0") + F.col("y1")) / 2
+    l = lines.select("doc", "page", mid.alias("at"), F.struct(mid.alias("mid"), F.col("id").alias("line"), (F.col("y1") - F.col("y0")).alias("h")).alias("l"), F.lit(None).cast(dict(small.dtypes)["id"]).alias("id"))
+    both = l.unionByName(small.select("doc", "page", mid.alias("at"), F.lit(None).cast(dict(l.dtypes)["l"]).alias("l"), "id"))
+    w = Window.partitionBy("doc", "page")
+    up = F.last("l", True).over(w.orderBy("at", F.col("l").isNull()).rowsBetween(Window.unboundedPreceding, 0))
+    down = F.last("l", True).over(w.orderBy(F.desc("at"), F.col("l").isNull()).rowsBetween(Window.unboundedPreceding, 0))
+    near = both.select("doc", "page", "id", "at", up.alias("u"), down.alias("d")).where("id is not null")
+    best = F.when(F.col("d").isNull() | (F.col("at") - F.col("u.mid") <= F.col("d.mid") - F.col("at")), F.col("u")).otherwise(F.col("d"))
+    near = near.select("doc", "page", "id", "at", best.alias("b"))
+    off = F.col("b.mid") - F.col("at")
+    place = F.when(off > F.col("b.h") / 3, "sup").when(off < -F.col("b.h") / 3, "sub").otherwise("base")
+    return near.select("doc", "page", "id", F.col("b.line").alias("line"), F.when(F.col("b").isNotNull(), place).alias("place"))
+
+
+def kept_when_whitened(spans: DataFrame, top: float, bottom: float) -> DataFrame:
+    """spans with ``kept``: lines that begin with a question's number, and lines wholly outside the content box; the rest is erased."""
+    number = F.col("text").rlike(r"^\s*\d{1,3}\s*[.．]")
+    return spans.withColumn("kept", number | (F.col("y1") <= top) | (F.col("y0") >= bottom))

@@ -7,6 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stemforge.functions import textcols as tx
+from stemforge.functions.brackets import halve_brackets_col
 from stemforge.functions.lookalike import normal_form
 from stemforge.operators import gates, maintain
 from stemforge.operators.citations import key_numbers_col, normalize_numerals
@@ -288,3 +289,90 @@ def drv19_remedies(t):
 def drv27_degenerate(t):
     """A question without options has no letters to check: not applicable, not a failure."""
     return t.bank.select("row_id", F.when(F.coalesce(F.size("options"), F.lit(0)) <= 0, "not_applicable").when(F.size(tx.answer_letters(F.col("answer"))) == 0, "fail").otherwise("pass").alias("state"))
+
+
+@query()
+def nrm10_formula_brackets(t):
+    """Texts whose formulas' brackets become half-width; checked by unit tests."""
+    fixed = halve_brackets_col(F.col("text"))
+    return t.documents.where("contains(text, '（')").select("doc_id", "text", fixed.alias("fixed")).where("fixed <> text").select("doc_id", "fixed")
+
+
+@query("SELECT expl_id, CASE WHEN len(list_filter(l[1:len(l) - 1], lambda x: NOT rl(x, '[。！？：；][\\s　]*$'))) = 0 THEN array_to_string(l, chr(10) || chr(10)) ELSE t END AS t FROM (SELECT expl_id, t, list_filter(string_split(t, chr(10)), lambda x: trim(x, ' ') <> '') AS l FROM explanations WHERE t IS NOT NULL) x")
+def nrm12_paragraphs_or_same(t):
+    return t.explanations.where("t is not null").select("expl_id", tx.paragraphs_or_same(F.col("t")).alias("t"))
+
+
+@query("SELECT expl_id, CASE WHEN coalesce(c, '') = 'low' AND (expl_id % 3 = 0 OR coalesce(rl(t, '看不到|未提供|為空|無法核對|缺圖|未附'), FALSE)) THEN 'input_gap' WHEN c = 'low' THEN 'content_error' ELSE 'style' END AS basis FROM explanations")
+def prd33_gap_language(t):
+    """Low levels as content errors, every third with an evidence field that the payload lacks."""
+    basis = F.when(F.col("c") == "low", "content_error").otherwise("style")
+    evidence = F.when(F.col("expl_id") % 3 == 0, "figure_desc").otherwise("stem")
+    return t.explanations.select("expl_id", tx.basis_of(basis, evidence, F.array(F.lit("stem"), F.lit("options")), F.col("t")).alias("basis"))
+
+
+@query("SELECT doc_id, CAST(len(list_filter(regexp_extract_all(f, '\\\\\\(\\s*(.+?)\\s*\\\\\\)', 1), lambda x: regexp_full_match(x, '(?:\\\\times|[\\d\\s.,=＝+\\-×÷/^{}])+'))) AS INT) AS bare FROM (SELECT doc_id, text || ' \\(10^{' || doc_id || '}\\) \\( I_{x} \\)' AS f FROM documents WHERE text IS NOT NULL) x")
+def prd29_bare_latex(t):
+    """Documents with a formula of digits and one with a letter behind them."""
+    f = F.concat("text", F.lit(" \\(10^{"), "doc_id", F.lit("}\\) \\( I_{x} \\)"))
+    return t.documents.where("text is not null").select("doc_id", F.size(tx.bare_latex(f)).alias("bare"))
+
+
+@query(f"SELECT p.row_id, len(list_filter(list_distinct(string_split(p.s, '')), lambda x: x <> '' AND length(p.s) - length(replace(p.s, x, '')) > length(b.s) - length(replace(b.s, x, '')))) = 0 AS within FROM (SELECT row_id, {squeeze('stem')} AS s FROM proof_stems) p JOIN (SELECT row_id, {squeeze('stem')} AS s FROM bank WHERE stem IS NOT NULL) b ON p.row_id = b.row_id")
+def par19_multiset_containment(t):
+    """Whether a proofread stem has nothing that the stored one doesn't have."""
+    j = t.proof_stems.select("row_id", tx.squeeze(F.col("stem")).alias("p")).join(t.bank.where("stem is not null").select("row_id", tx.squeeze(F.col("stem")).alias("b")), "row_id")
+    return j.select("row_id", tx.multiset_within(F.col("p"), F.col("b")).alias("within"))
+
+
+@query("SELECT row_id, CAST(length(replace(stem, chr(10), '')) - length(replace(array_to_string(list_filter(string_split(stem, chr(10)), lambda x: NOT rl(x, '考科|試題|題本|卷別|翻頁|^ *第[ 0-9]+頁[ \r]*$')), ''), chr(10), '')) AS INT) AS dropped, NOT rl(stem, '[\\x{e000}-\\x{f8ff}]') AS in_domain FROM bank WHERE stem IS NOT NULL")
+def par20_conservation(t):
+    """What is kept and what is dropped make up the whole; the dropped characters have a name, and no private one is left."""
+    lines = F.split("stem", "\n")
+    kept, gone = (F.length(F.array_join(F.filter(lines, f), "")) for f in (lambda x: ~tx.furniture_line(x), tx.furniture_line))
+    whole = F.length(F.replace("stem", F.lit("\n"), F.lit("")))
+    dropped = F.when(kept + gone == whole, gone).otherwise(F.raise_error(F.lit("characters were lost")).cast("int"))
+    return t.bank.where("stem is not null").select("row_id", dropped.alias("dropped"), (~F.col("stem").rlike("[\ue000-\uf8ff]")).alias("in_domain"))
+
+
+_PAGE = f"(SELECT row_id, {squeeze('passage')} AS p, substr({squeeze('passage')}, row_id % 40 + 1) || 'x' AS n FROM bank WHERE passage IS NOT NULL)"
+
+
+@query(f"SELECT row_id, CAST(k AS INT) AS chars, CAST(CASE WHEN k IS NOT NULL THEN instr(p, substr(n, 1, k)) END AS INT) AS at FROM (SELECT *, coalesce(list_filter(range(least(length(n), 30), 9, -1), lambda k: instr(p, substr(n, 1, CAST(k AS INT))) > 0 AND instr(substr(p, instr(p, substr(n, 1, CAST(k AS INT))) + 1), substr(n, 1, CAST(k AS INT))) = 0)[1], list_filter(range(least(length(n), 30), 5, -1), lambda k: instr(p, substr(n, 1, CAST(k AS INT))) > 0)[1]) AS k FROM {_PAGE} x) y")
+def join16_located_texts(t):
+    """Pieces of passages located again by their longest beginnings."""
+    b = t.bank.where("passage is not null").select("row_id", F.col("passage").alias("p"), F.concat(F.substring(tx.squeeze(F.col("passage")), (F.col("row_id") % 40 + 1).cast("int"), F.lit(100_000)), F.lit("x")).alias("n"))
+    return b.select("row_id", tx.locate(F.col("p"), F.col("n")).alias("l")).select("row_id", "l.*")
+
+
+@query("SELECT batch, round(1 - sum(d) / (count(*) * max(d)), 6) AS idle FROM (SELECT CAST(floor(expl_id / 5) AS BIGINT) AS batch, 60.0::DOUBLE + second(merged_at) AS d FROM explanations WHERE merged_at IS NOT NULL) x GROUP BY batch")
+def agg21_idle_slots(t):
+    """Five slots a batch, each waiting for the slowest."""
+    d = 60.0 + F.second("merged_at")
+    g = t.explanations.where("merged_at is not null").groupBy(F.floor(F.col("expl_id") / 5).cast("bigint").alias("batch"))
+    return g.agg(F.round(1 - F.sum(d) / (F.count("*") * F.max(d)), 6).alias("idle"))
+
+
+@query("SELECT row_id, CASE answer_status WHEN 'official' THEN ch = answer WHEN 'multi' THEN coalesce(list_contains(accept, ch), FALSE) WHEN 'free' THEN TRUE END AS correct, CASE answer_status WHEN 'official' THEN contains(answer, ch) WHEN 'multi' THEN coalesce(list_contains(accept, ch), FALSE) WHEN 'free' THEN TRUE END AS any_letter FROM (SELECT *, substr('ABCD', CAST(row_id % 4 + 1 AS INT), 1) AS ch FROM bank) x")
+def drv04_graded_letters(t):
+    """Every question graded for a chosen letter, with both meanings of an answer of several letters."""
+    ch = F.substring(F.lit("ABCD"), (F.col("row_id") % 4 + 1).cast("int"), F.lit(1))
+    both = [gates.grade(ch, F.col("answer"), F.col("accept"), F.col("answer_status"), s).alias(n) for s, n in (("exact", "correct"), ("any", "any_letter"))]
+    return t.bank.select("row_id", *both)
+
+
+@query("SELECT row_id, CAST(count(*) AS INT) AS cells FROM (SELECT row_id, stem, trim(unnest(string_split(table_md, '|')), ' ' || chr(10)) AS cell FROM bank WHERE table_md IS NOT NULL AND stem IS NOT NULL) x WHERE length(cell) >= 2 AND contains(stem, cell) GROUP BY row_id")
+def drv21_leaked_cells(t):
+    """Cells of a table that stand in the stem too: candidates, not faults."""
+    cells = t.bank.where("table_md is not null and stem is not null").select("row_id", "stem", F.explode(F.split("table_md", r"\|")).alias("c")).withColumn("c", F.btrim("c", F.lit(" \n")))
+    return cells.where("length(c) >= 2 and contains(stem, c)").groupBy("row_id").agg(F.count("*").cast("int").alias("cells"))
+
+
+@query("SELECT store, CAST(sum(len(regexp_extract_all(s, '[。？！]'))) AS BIGINT) AS marks, count(*) AS texts FROM (SELECT 'bank' AS store, stem AS s FROM bank UNION ALL SELECT 'explanations', t FROM explanations UNION ALL SELECT 'documents', text FROM documents UNION ALL SELECT 'proof_stems', stem FROM proof_stems) x WHERE s IS NOT NULL GROUP BY store")
+def drv25_all_stores(t):
+    stores = {"bank": "stem", "explanations": "t", "documents": "text", "proof_stems": "stem"}
+    every = None
+    for name, c in stores.items():
+        one = getattr(t, name).select(F.lit(name).alias("store"), F.col(c).alias("s"))
+        every = one if every is None else every.unionByName(one)
+    return every.where("s is not null").groupBy("store").agg(F.sum(F.regexp_count("s", F.lit("[。？！]"))).alias("marks"), F.count("*").alias("texts"))

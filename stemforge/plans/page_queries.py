@@ -110,3 +110,16 @@ def join18_next_below(t):
 @query(_W + " SELECT doc, i, CAST(row_number() OVER (PARTITION BY doc ORDER BY page, y0, x0) AS INT) AS pos FROM s")
 def srt01_reading_order(t):
     return geo.reading_order(spans(t)).select("doc", "i", "pos")
+
+
+@query(_W + ", m AS (SELECT doc, page, i AS id, (y0 + y1) / 2 AS cy FROM (SELECT doc, page, i, y0 + 3 * (i % 4) AS y0, y1 + 3 * (i % 4) AS y1 FROM s WHERE i % 5 = 4) x), l AS (SELECT doc, page, i AS line, (y0 + y1) / 2 AS mid FROM s WHERE i % 5 <> 4), n AS (SELECT m.*, (SELECT arg_min({'line': line, 'mid': mid}, (abs(mid - cy), mid)) FROM l WHERE l.doc = m.doc AND l.page = m.page) AS b FROM m) SELECT doc, page, id, b.line AS line, CASE WHEN b IS NULL THEN NULL WHEN b.mid - cy > 4 THEN 'sup' WHEN b.mid - cy < -4 THEN 'sub' ELSE 'base' END AS place FROM n")
+def par15_lines_of_small_spans(t):
+    """Every fifth line, shifted, as a small span: the nearest other line and its place there (PAR-15, PAR-16)."""
+    s = spans(t).withColumnRenamed("i", "id")
+    small = s.where("id % 5 = 4").withColumns({"y0": F.col("y0") + 3 * (F.col("id") % 4), "y1": F.col("y1") + 3 * (F.col("id") % 4)})
+    return geo.to_lines(small, s.where("id % 5 <> 4"))
+
+
+@query(_W + " SELECT doc, page, count(*) AS lines, count(*) FILTER (regexp_matches(text, '^\\s*\\d{1,3}\\s*[.．]') OR y1 <= 90 OR y0 >= 700) AS kept FROM s GROUP BY 1, 2")
+def drv29_whitened_lines(t):
+    return geo.kept_when_whitened(spans(t), 90.0, 700.0).groupBy("doc", "page").agg(F.count("*").alias("lines"), F.count_if("kept").alias("kept"))

@@ -5,8 +5,11 @@ from pyspark.sql import functions as F
 
 from stemforge.functions import statistics as st
 from stemforge.functions import textcols as tx
+from stemforge.functions.brackets import halve_brackets
 from stemforge.functions.lookalike import look_key, look_key_col, normal_form
 from stemforge.functions.numerals import article_number, ascii_width, chinese_integer
+from stemforge.operators import gates
+from stemforge.operators.ranking import rank_within
 
 
 def one(spark, value, column, kind="string"):
@@ -92,3 +95,49 @@ def test_statistics(spark):
     assert round(s[0]["p"], 4) == 0.0023 and s[1]["p"] == 1.0
     e = spark.createDataFrame([(4, 40), (3, 40)], "k int, n int").select(st.escalate(F.col("k"), F.col("n")).alias("e")).collect()
     assert [r["e"] for r in e] == [True, False]
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("f（x）＝（x+1）²為真", "f(x)＝(x+1)²為真"),
+        ("（non-coding RNA）+1", "（non-coding RNA）+1"),
+        ("p=0.043（顯著）", "p=0.043（顯著）"),
+        ("離子（Na+）", "離子（Na+）"),
+        ("（A）x+1", "（A）x+1"),
+        ("q（x）＝x+1，而 q（x）次數小", "q（x）＝x+1，而 q（x）次數小"),
+        ("f（x＝1", "f（x＝1"),
+        ("", ""),
+        (None, None),
+    ],
+)
+def test_brackets_of_formulas(text, want):
+    assert halve_brackets(text) == want == halve_brackets(want)
+
+
+def test_more_text_rules(spark):
+    row = lambda *values: spark.createDataFrame([values], ", ".join(f"c{i} string" for i in range(len(values))))
+    first = lambda df, c: df.select(c.alias("r")).first()["r"]
+    c = F.col("c0")
+    assert first(row("甲。\n乙。\n丙"), tx.paragraphs_or_same(c)) == "甲。\n\n乙。\n\n丙"
+    assert first(row("甲\n乙。"), tx.paragraphs_or_same(c)) == "甲\n乙。"
+    assert first(row(r"\(10^2\) 與 \( I_e \) 與 \(2 \times 3\)"), tx.bare_latex(c)) == ["10^2", r"2 \times 3"]
+    assert first(row("甲甲乙", "乙甲丙甲"), tx.multiset_within(c, F.col("c1"))) and not first(row("甲甲", "甲"), tx.multiset_within(c, F.col("c1")))
+    page = "甲乙丙丁戊己庚辛壬癸子丑" * 2 + "寅卯辰巳午未申酉戌亥"
+    assert tuple(first(row(page, "寅卯 辰巳午未申酉戌亥XX"), tx.locate(c, F.col("c1")))) == (10, 25)
+    assert tuple(first(row(page, "甲乙丙丁戊己庚Z"), tx.locate(c, F.col("c1")))) == (7, 1)
+    assert tuple(first(row(page, "無此文字片段"), tx.locate(c, F.col("c1")))) == (None, None)
+    assert first(row("<p>a &amp;lt; b</p><script>x</script>&nbsp;&lt;i&gt;"), tx.visible_text(c)) == "a &lt; b\n<i>"
+
+
+@pytest.mark.parametrize(("status", "several", "want"), [("official", "exact", False), ("official", "any", True), ("multi", "exact", True), ("free", "exact", True), ("unread", "exact", None), (None, "any", None)])
+def test_grades(spark, status, several, want):
+    df = spark.createDataFrame([("A", "AC", ["A"], status)], "ch string, answer string, accept array<string>, status string")
+    assert df.select(gates.grade(F.col("ch"), F.col("answer"), F.col("accept"), F.col("status"), several).alias("g")).first()["g"] is want
+
+
+def test_ranks_within_groups(spark):
+    rows = [(g, y, i) for i, (g, y) in enumerate([("a", 3), ("a", 1), ("a", None), (None, 1), ("a", 1), (None, None)])]
+    df = spark.createDataFrame(rows, "g string, y int, i int")
+    got = {r["i"]: r["k"] for r in rank_within(df, ["g"], F.col("y"), ["i"], "k").collect()}
+    assert got == {1: 1, 4: 2, 0: 3, 2: 4, 3: 1, 5: 2}
