@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stemforge.llm.canonical import canonical_column, fit_scores
 from stemforge.operators.blocks import expand_pairs, grouped_pairs
 from stemforge.operators.snapshots import snapshot_numbers
-from stemforge.plans.change_queries import pack_articles
+from stemforge.plans.change_queries import ARTICLE_PARTS, ARTICLE_PLAIN, ARTICLE_SQL, fold_values, pack_articles
 from stemforge.session import broadcast_below, cut, stored, table
 
 
@@ -57,3 +57,18 @@ def p1_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms}
+
+SQL = {
+    "p1_found": f"""WITH fold(ch, folded) AS (VALUES {fold_values()}),
+expl AS (SELECT expl_id, t AS text FROM explanations WHERE t IS NOT NULL),
+valid AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pack_date, pcode ORDER BY loaded_at DESC, pack_row DESC) AS k FROM anchor_packs WHERE pcode IS NOT NULL AND pack_date IS NOT NULL) x WHERE k = 1),
+dates AS (SELECT pack_date, lag(pack_date) OVER (ORDER BY pack_date) AS old_date FROM (SELECT DISTINCT pack_date FROM anchor_packs WHERE pack_date IS NOT NULL) x),
+spelt AS (SELECT *, {ARTICLE_PLAIN} AS s FROM (SELECT pack_date, pcode, pack_row, e.key AS spelt, e.value AS text FROM (SELECT pack_date, pcode, pack_row, unnest(map_entries(articles)) AS e FROM valid) x) y),
+arts AS (SELECT pack_date, pcode, pack_row, art, arg_min(coalesce(text, chr(1)), spelt) AS text FROM (SELECT *, {ARTICLE_SQL} AS art FROM (SELECT *, {ARTICLE_PARTS} FROM spelt) x) y GROUP BY ALL),
+chars AS (SELECT text, unnest(string_split(text, '')) AS c, generate_subscripts(string_split(text, ''), 1) AS i FROM (SELECT text FROM expl UNION SELECT text FROM arts WHERE text <> chr(1)) x),
+looks AS (SELECT text, nfc_normalize(string_agg(coalesce(folded, c), '' ORDER BY i)) AS look FROM chars LEFT JOIN fold ON ch = c GROUP BY text),
+e AS (SELECT expl_id, text, look FROM expl JOIN looks USING (text)),
+a AS (SELECT arts.*, look FROM arts JOIN looks USING (text))
+SELECT 'explanations' AS src_table, x.expl_id AS id_a, y.expl_id AS id_b, '' AS art FROM e x JOIN e y ON x.look = y.look AND x.text <> y.text AND x.expl_id < y.expl_id
+UNION ALL SELECT 'anchor_packs', least(n.pack_row, o.pack_row), greatest(n.pack_row, o.pack_row), n.art FROM a n JOIN dates d ON n.pack_date = d.pack_date JOIN a o ON o.pack_date = d.old_date AND o.pcode = n.pcode AND o.art = n.art AND o.look = n.look AND o.text <> n.text""",
+}
