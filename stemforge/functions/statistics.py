@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,7 +19,11 @@ def wilson(k: Column, n: Column, z: float = Z95) -> tuple[Column, Column]:
 
 
 def log_factorial(n: Column) -> Column:
-    return F.when(n > 1, F.aggregate(F.sequence(F.lit(1), n.cast("int")), F.lit(0.0), lambda a, x: a + F.ln(x))).otherwise(0.0)
+    """ln n!: a sum for small n, Stirling's series (to 1e-12) beyond, so large counts cost nothing."""
+    small = F.aggregate(F.sequence(F.lit(1), F.least(n, F.lit(64)).cast("int")), F.lit(0.0), lambda a, x: a + F.ln(x))
+    x = n.cast("double")
+    series = x * F.ln(x) - x + 0.5 * F.ln(2 * math.pi * x) + 1 / (12 * x) - 1 / (360 * x * x * x)
+    return F.when(n > 64, series).when(n > 1, small).otherwise(0.0)
 
 
 def _log_choose(n: Column, k: Column) -> Column:

@@ -105,7 +105,7 @@ found AS (
 """
 _NUMERAL = "[零〇一二兩三四五六七八九十百千萬億]"
 # Chinese numerals up to 9999 in SQL: digits before each unit.
-_PART = "CASE WHEN {0} = '' THEN '' WHEN regexp_full_match({0}, '[0-9]+') THEN CAST(CAST({0} AS BIGINT) AS VARCHAR) WHEN regexp_full_match({0}, '[零〇一二兩三四五六七八九]+') THEN CAST(CAST(translate({0}, '零〇一二兩三四五六七八九', '001223456789') AS BIGINT) AS VARCHAR) ELSE CAST(" + " + ".join(
+NUMERAL_PART = "CASE WHEN {0} = '' THEN '' WHEN regexp_full_match({0}, '[0-9]+') THEN CAST(CAST({0} AS BIGINT) AS VARCHAR) WHEN regexp_full_match({0}, '[零〇一二兩三四五六七八九]+') THEN CAST(CAST(translate({0}, '零〇一二兩三四五六七八九', '001223456789') AS BIGINT) AS VARCHAR) ELSE CAST(" + " + ".join(
     f"{v} * CASE WHEN NOT contains({{0}}, '{u}') THEN 0 ELSE coalesce(TRY_CAST(translate(regexp_extract({{0}}, '([一二兩三四五六七八九])?{u}', 1), '一二兩三四五六七八九', '1223456789') AS BIGINT), 1) END" for u, v in (("千", 1000), ("百", 100), ("十", 10))
 ) + " + coalesce(TRY_CAST(translate(regexp_extract({0}, '([一二兩三四五六七八九])$', 1), '一二兩三四五六七八九', '1223456789') AS BIGINT), 0) AS VARCHAR) END"
 
@@ -121,7 +121,7 @@ _SHAPE = f"'^第?([0-9]+|{_NUMERAL}+)條?(?:[-之]([0-9]+|{_NUMERAL}+))?條?$'"
 #: Article numbers in SQL: from ``spelt`` to s, from s to major and minor, and from those to the number.
 ARTICLE_PLAIN = f"regexp_replace(regexp_replace(translate(spelt, '{_WIDE}', '{_NARROW}'), '[\\s\\p{{Z}}\\x{{200b}}-\\x{{200f}}\\x{{2060}}\\x{{feff}}\\x{{ad}}\\x{{fe0e}}]+', '', 'g'), '[\\x{{2010}}-\\x{{2015}}\\x{{2212}}]', '-', 'g')"
 ARTICLE_PARTS = f"regexp_extract(s, {_SHAPE}, 1) AS major, regexp_extract(s, {_SHAPE}, 2) AS minor"
-ARTICLE_SQL = f"CASE WHEN major = '' THEN s ELSE {_PART.format('major')} || CASE WHEN minor = '' THEN '' ELSE '-' || {_PART.format('minor')} END END"
+ARTICLE_SQL = f"CASE WHEN major = '' THEN s ELSE {NUMERAL_PART.format('major')} || CASE WHEN minor = '' THEN '' ELSE '-' || {NUMERAL_PART.format('minor')} END END"
 _P3 = f"""WITH fold(ch, folded) AS (VALUES {fold_values()}),
 valid AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pack_date, pcode ORDER BY loaded_at DESC, pack_row DESC) AS k FROM anchor_packs WHERE pcode IS NOT NULL AND pack_date IS NOT NULL) x WHERE k = 1),
 dates AS (SELECT pack_date, lag(pack_date) OVER (ORDER BY pack_date) AS old_date FROM (SELECT DISTINCT pack_date FROM anchor_packs WHERE pack_date IS NOT NULL) x),

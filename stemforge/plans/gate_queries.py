@@ -15,7 +15,7 @@ from stemforge.operators.citations import citations, impacted, key_numbers_col,
 from stemforge.operators.orphans import reference_key
 from stemforge.operators.snapshots import latest_rows
 from stemforge.functions.lookalike import normal_form
-from stemforge.plans.change_queries import _KEY, ARTICLE_PARTS, ARTICLE_PLAIN, ARTICLE_SQL, p3_found, pack_articles, pack_changes
+from stemforge.plans.change_queries import _KEY, ARTICLE_PARTS, ARTICLE_PLAIN, ARTICLE_SQL, NUMERAL_PART, p3_found, pack_articles, pack_changes
 from stemforge.plans.change_queries import SQL as CHANGE_SQL
 from stemforge.plans.dual import duck_sql
 from stemforge.plans.statements import full_width as _full_width
@@ -209,10 +209,16 @@ def article_numbers(spark, sf_dir):
     return keys.select("spelt", article_number(F.col("spelt")).alias("art"))
 
 
-@query("nrm13_numerals", "SELECT * FROM (VALUES ('三十', 30), ('一百二十', 120), ('四十四', 44), ('二〇一', 201), ('三萬', 30000), ('十二', 12), ('九', 9)) t(token, value)")
+_TOKEN = "[零〇一二兩三四五六七八九十百千萬]+"
+_VALUE = "CASE WHEN contains(token, '萬') THEN CAST(" + NUMERAL_PART.format("split_part(token, '萬', 1)") + " AS BIGINT) * 10000 + coalesce(TRY_CAST(" + NUMERAL_PART.format("split_part(token, '萬', 2)") + " AS BIGINT), 0) ELSE CAST(" + NUMERAL_PART.format("token") + " AS BIGINT) END"
+
+
+@query("nrm13_numerals", "SELECT token, n, " + _VALUE + " AS value FROM (SELECT token, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '" + _TOKEN + "')) AS token FROM (SELECT unnest(map_values(articles)) AS text FROM anchor_packs) x) y WHERE len(regexp_extract_all(token, '萬')) <= 1 AND NOT starts_with(token, '萬') GROUP BY token) z")
 def numerals(spark, sf_dir):
-    tokens = spark.createDataFrame([(x,) for x in ("三十", "一百二十", "四十四", "二〇一", "三萬", "十二", "九")], "token string")
-    return tokens.select("token", chinese_integer(F.col("token")).cast("int").alias("value"))
+    """The numerals of all article texts, and their values."""
+    text = table(spark, sf_dir, "anchor_packs").select(F.explode(F.map_values("articles")).alias("text"))
+    tokens = text.select(F.explode(F.regexp_extract_all("text", F.lit(f"({_TOKEN})"), 1)).alias("token")).where("regexp_count(token, '萬') <= 1 and not startswith(token, '萬')")
+    return tokens.groupBy("token").agg(F.count("*").alias("n")).select("token", "n", chinese_integer(F.col("token")).alias("value"))
 
 
 @query("win02_chain_stack", "SELECT qid, CAST(count(*) OVER (PARTITION BY group_id ORDER BY no, qid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT) AS before_n, coalesce(string_agg(qid, '|') OVER (PARTITION BY group_id ORDER BY no, qid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before FROM <q> q WHERE group_id IS NOT NULL")
@@ -238,18 +244,26 @@ def extreme_breaker(spark, sf_dir):
     return gates.breaker(table(spark, sf_dir, "answer_events").where("qid is not null and correct is not null"), "qid", F.col("correct"), least=10)
 
 
-@query("agg14_fisher", "SELECT a, n1, b, n2, round((SELECT sum(exp(w)) FROM (SELECT lgamma(n1 + 1) - lgamma(x + 1) - lgamma(n1 - x + 1) + lgamma(n2 + 1) - lgamma(a + b - x + 1) - lgamma(n2 - a - b + x + 1) - lgamma(n1 + n2 + 1) + lgamma(a + b + 1) + lgamma(n1 + n2 - a - b + 1) AS w, x FROM (SELECT unnest(range(0, a + b + 1)) AS x) r) g WHERE w <= lgamma(n1 + 1) - lgamma(a + 1) - lgamma(n1 - a + 1) + lgamma(n2 + 1) - lgamma(b + 1) - lgamma(n2 - b + 1) - lgamma(n1 + n2 + 1) + lgamma(a + b + 1) + lgamma(n1 + n2 - a - b + 1) + 1e-7), 6) AS p FROM (VALUES (1, 40, 3, 40), (5, 200, 15, 200), (10, 400, 30, 400)) t(a, n1, b, n2)")
+_LOG = "(lgamma(n1 + 1) - lgamma({0} + 1) - lgamma(n1 - {0} + 1) + lgamma(n2 + 1) - lgamma(a + b - {0} + 1) - lgamma(n2 - a - b + {0} + 1) - lgamma(n1 + n2 + 1) + lgamma(a + b + 1) + lgamma(n1 + n2 - a - b + 1))"
+
+
+@query("agg14_fisher", f"SELECT subject, a, n1, b, n2, round(list_sum(list_transform(list_filter(range(greatest(0, a + b - n2), least(n1, a + b) + 1), lambda x: {_LOG.format('x')} <= {_LOG.format('a')} + 1e-7), lambda x: exp({_LOG.format('x')}))), 6) AS p FROM (SELECT subject, count(*) FILTER (no % 2 = 0 AND parse = 'review') AS a, count(*) FILTER (no % 2 = 0) AS n1, count(*) FILTER (no % 2 = 1 AND parse = 'review') AS b, count(*) FILTER (no % 2 = 1) AS n2 FROM <q> q WHERE no IS NOT NULL GROUP BY subject) x")
 def fisher(spark, sf_dir):
-    t = spark.createDataFrame([(1, 40, 3, 40), (5, 200, 15, 200), (10, 400, 30, 400)], "a int, n1 int, b int, n2 int")
+    """Whether even and odd questions of a subject need review at different rates."""
+    q = questions(spark, sf_dir, "subject", "no", "parse").where("no is not null")
+    odd, bad = F.col("no") % 2 == 1, F.col("parse") == "review"
+    t = q.groupBy("subject").agg(F.count_if(~odd & bad).alias("a"), F.count_if(~odd).alias("n1"), F.count_if(odd & bad).alias("b"), F.count_if(odd).alias("n2"))
     return t.select("*", F.round(st.fisher(F.col("a"), F.col("n1"), F.col("b"), F.col("n2")), 6).alias("p"))
 
 
 _TAIL = "round(least(1.0, 2 * list_sum(list_transform(range(0, CAST(least({a}, {b}) AS BIGINT) + 1), lambda i: exp(lgamma({a} + {b} + 1) - lgamma(i + 1) - lgamma({a} + {b} - i + 1) - ({a} + {b}) * ln(2.0))))), 5)"
 
 
-@query("agg16_sign_test", "SELECT wins, losses, " + _TAIL.replace("{a}", "wins").replace("{b}", "losses") + " AS p FROM (VALUES (23, 6), (10, 10), (3, 0), (0, 0)) t(wins, losses)")
+@query("agg16_sign_test", "SELECT subject, wins, losses, " + _TAIL.replace("{a}", "wins").replace("{b}", "losses") + " AS p FROM (SELECT q.subject, count(*) FILTER (e.c = 'high') AS wins, count(*) FILTER (e.c = 'low') AS losses FROM <q> q JOIN explanations e ON e.qid = q.qid GROUP BY q.subject) x")
 def sign_test(spark, sf_dir):
-    t = spark.createDataFrame([(23, 6), (10, 10), (3, 0), (0, 0)], "wins int, losses int")
+    """High against low levels of a subject's explanations."""
+    e = table(spark, sf_dir, "explanations").select("qid", "c").join(questions(spark, sf_dir, "subject").select("qid", "subject"), "qid")
+    t = e.groupBy("subject").agg(F.count_if(F.col("c") == "high").alias("wins"), F.count_if(F.col("c") == "low").alias("losses"))
     return t.select("*", F.round(st.binomial_two_sided(F.col("wins"), F.col("wins") + F.col("losses")), 5).alias("p"))
 
 
