@@ -27,12 +27,12 @@ FINE, SLICE = 8, 500_000
 
 
 def plan(sizes: DataFrame, targets: DataFrame, total: float | None = None) -> DataFrame:
-    """(source, target_share, max_repeats, records, size, expected, wanted): one row per target.
+    """(source, target_share, max_repeats, records, size, expected, wanted): one row per target. Equal rows count once; different ones of a source add up.
 
     total: the wanted total size; by default the largest that all targets with records can meet within their caps.
     """
     have = sizes.where("tokens > 0 and source is not null").groupBy("source").agg(F.count("*").alias("records"), F.sum("tokens").alias("size"))
-    t = targets.where("source is not null and target_share > 0 and max_repeats > 0").groupBy("source").agg(F.sum("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
+    t = targets.select("source", "target_share", "max_repeats").where("source is not null and target_share > 0 and max_repeats > 0").distinct().groupBy("source").agg(F.sum("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
     t = t.join(have, "source", "left")
     live = t.where("size > 0")
     some = live.agg(F.sum("target_share").alias("live_share"))

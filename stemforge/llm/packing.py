@@ -89,11 +89,12 @@ def pack(
     """(spec, container, doc_id, piece, tokens, capacity_tokens, closed_by) for items (doc_id, tokens) and specs (spec, capacity_tokens).
 
     Containers are numbered from 0 within a spec's shard, shard * 2^32 on. closed_by is the capacity that is used up most
-    in the container at the end: tokens, documents or attention. Specs without a positive capacity pack nothing.
+    in the container at the end: tokens, documents or attention. Specs without a name or a positive
+    capacity pack nothing; of a spec given several times the greatest capacity counts.
     """
     items = items.where("tokens > 0").select("doc_id", F.col("tokens").cast("bigint").alias("size"))
     n = max(1, math.ceil(items.count() / shard_items))
-    specs = specs.where("capacity_tokens > 0").select("spec", F.col("capacity_tokens").cast("bigint").alias("capacity"))
+    specs = specs.where("capacity_tokens > 0 and spec is not null").groupBy("spec").agg(F.max("capacity_tokens").cast("bigint").alias("capacity"))
     both = items.crossJoin(broadcast_below(specs, 10_000))  # each item is packed for each spec
     pieces = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("size") - 1) / F.col("capacity")).cast("bigint"))
     both = both.withColumn("piece", F.explode(pieces)).withColumn("tokens", F.least(F.col("capacity"), F.col("size") - F.col("piece") * F.col("capacity")).cast("bigint"))
