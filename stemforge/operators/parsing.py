@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stemforge.functions.numerals import article_number, ascii_width
-from stemforge.functions.textcols import join_clean, roc_date
+from stemforge.functions.textcols import join_clean, roc_date, split_options
 
 # Headers of a paper's parts and of groups, starts of questions, headings of law pages and what ends them.
 PART_ONE = r"說\s*明\s*[:：︰]\s*第\s*1\s*題\s*至\s*第\s*(\d+)\s*題\s*為\s*單\s*選\s*題"
@@ -158,3 +161,54 @@ def orphan_units(text: Column) -> Column:
 def cut_furniture(option: Column) -> Column:
     """An option up to an explicit mark of page furniture; never cut at a mere line end."""
     return F.regexp_replace(option, r"(?s)\s*(?:請翻頁繼續作答|背面尚有試題|第\s*\d+\s*頁\s*共\s*\d+\s*頁|請勿攜出).*$", "")
+
+
+# --- fallbacks and repairs by position and by pools of characters
+
+
+def items_by_position(spans: DataFrame, least_options: int = 4, least_han: int = 8) -> DataFrame:
+    """(doc, no, stem, options) of spans (doc, page, x0, y0, text) in reading order: an item begins at a span ``no. text`` of more than six characters and ends at the next.
+
+    options is null with fewer than ``least_options`` of them, stem is null with fewer than ``least_han`` ideographs: then the coordinates can't replace the text.
+    """
+    start = F.col("text").rlike(r"^\s*\d{1,3}\s*[.．]\s*\S") & (F.length("text") > 6)
+    w = Window.partitionBy("doc").orderBy("page", "y0", "x0")  # one paper
+    rows = spans.withColumn("_start", start).withColumn("_item", F.sum(F.col("_start").cast("int")).over(w)).withColumn("_pos", F.row_number().over(w)).where("_item > 0")
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_pos", "text"))), lambda x: x["text"]), " ")
+    items = rows.groupBy("doc", "_item").agg(text.alias("t")).select("doc", F.regexp_extract("t", r"^\s*(\d+)", 1).cast("int").alias("no"), F.regexp_replace("t", r"^\s*\d+\s*[.．]\s*", "").alias("t"))
+    stem, options = F.trim(F.regexp_replace("t", r"(?s)\([A-E]\).*$", "")), split_options(F.col("t"))
+    return items.select("doc", "no", F.when(F.regexp_count(stem, F.lit("[一-鿿]")) >= least_han, stem).alias("stem"), F.when(F.size(options) >= least_options, options).alias("options"))
+
+
+def unrotated(tail: Column, numbers: Column, source: Column) -> Column:
+    """Numbers of options that moved up by one, so that the stem's tail has the first one's: moved back, if together they are just the numbers of the source; else as they are."""
+    back = F.concat(F.array(tail), F.slice(numbers, 1, F.greatest(F.size(numbers) - 1, F.lit(0))))
+    moved = (F.element_at(numbers, -1) == "") & (F.array_sort(back) == F.array_sort(source))
+    return F.when(F.coalesce(moved, F.lit(False)), back).otherwise(numbers)
+
+
+def cut_pool(text: str | None, pool: str | None) -> str | None:
+    """The text without the longest end whose characters are all in the pool, each as often as it is there; unchanged unless the pool is used up."""
+    if not text or not pool:
+        return text
+    left, at = Counter(pool), len(text)
+    while at and left[text[at - 1]] > 0:
+        at -= 1
+        left[text[at]] -= 1
+    return text[:at] if len(text) - at == len(pool) else text
+
+
+def cut_pool_col(text: Column, pool: Column) -> Column:
+    return F.pandas_udf(lambda t, p: pd.Series([cut_pool(a, b) for a, b in zip(t, p)], dtype=object), "string")(text, pool)
+
+
+def repair_glyphs(texts: DataFrame, glyphs: DataFrame) -> DataFrame:
+    """texts (id, paper, font, text) with private characters replaced by glyphs (paper, font, seen, true), and how many stay unknown.
+
+    A character means something only within its paper and font; two meanings there are an error. A paper's glyphs are a small map.
+    """
+    one = glyphs.groupBy("paper", "font", "seen").agg(F.when(F.countDistinct("true") > 1, F.raise_error(F.concat_ws(" ", F.lit("two meanings:"), "paper", "font", "seen")).cast("string")).otherwise(F.min("true")).alias("true"))
+    maps = one.groupBy("paper", "font").agg(F.map_from_entries(F.collect_list(F.struct("seen", "true"))).alias("_m"))
+    fixed = F.array_join(F.transform(F.split("text", ""), lambda c: F.coalesce(F.element_at("_m", c), c)), "")
+    j = texts.join(maps, ["paper", "font"], "left").withColumn("text", F.when(F.col("_m").isNull(), F.col("text")).otherwise(fixed))
+    return j.select("id", "text", F.regexp_count("text", F.lit("[\ue000-\uf8ff]")).alias("unknown"))

@@ -376,3 +376,11 @@ def drv25_all_stores(t):
         one = getattr(t, name).select(F.lit(name).alias("store"), F.col(c).alias("s"))
         every = one if every is None else every.unionByName(one)
     return every.where("s is not null").groupBy("store").agg(F.sum(F.regexp_count("s", F.lit("[。？！]"))).alias("marks"), F.count("*").alias("texts"))
+
+
+@query("SELECT event_type, strftime(ts, '%Y-%m') AS month, round(sum(value + 0.1 * coalesce(CAST(json_extract(props, '$.k') AS DOUBLE), 0) + 1.25 * (event_id % 10)), 4) AS cost FROM events WHERE value IS NOT NULL GROUP BY ALL")
+def agg22_weighted_cost(t):
+    """Cost by kind and month of three classes of size: plain, read again at 10 %, and written at 125 %."""
+    k = F.coalesce(F.get_json_object("props", "$.k").cast("double"), F.lit(0.0))
+    cost = F.sum(F.col("value") + 0.1 * k + 1.25 * (F.col("event_id") % 10))
+    return t.events.where("value is not null").groupBy("event_type", F.date_format("ts", "yyyy-MM").alias("month")).agg(F.round(cost, 4).alias("cost"))

@@ -319,6 +319,12 @@ def pack_citations(spark, sf_dir):
     return _pack_verdicts(spark, sf_dir).groupBy("pack_date", F.when(F.col("status").isin("ok", "flag"), "there").otherwise(F.col("status")).alias("status")).agg(F.count("*").alias("refs"))
 
 
+@query("agg07_citation_summary", "SELECT pack_date, CAST(sum(refs) AS BIGINT) AS refs, CAST(sum(CASE WHEN status = 'fail' THEN refs ELSE 0 END) AS BIGINT) AS fail FROM (" + SQL["join05_pack_citations"] + ") s GROUP BY pack_date")
+def citation_summary(spark, sf_dir):
+    """How many citations could be seen at all, and how many failed."""
+    return _pack_verdicts(spark, sf_dir).groupBy("pack_date").agg(F.count("*").alias("refs"), F.count_if(F.col("status") == "fail").alias("fail"))
+
+
 @query("join05_number_flags")
 def number_flags(spark, sf_dir):
     """Of those citations, the ones whose numbers the newest article doesn't have."""

@@ -180,3 +180,59 @@ def join08_parity_states(t):
     expl = e.groupBy("block").agg(F.lit("expl").alias("arm"), listed("qid").alias("prompt_sha"), F.lit(None).cast("string").alias("delivered_sha"), F.when(F.count("*") % 2 == 0, "cli").otherwise("agent").alias("channel"), F.max("merged_at").alias("ts"))
     blocks = b.groupBy("block").agg((F.min("loaded_at") + F.expr("interval 30 days")).alias("newer_than"))
     return parity.parity(bank.unionByName(expl), t.spark.createDataFrame([("bank",), ("expl",)], "arm string"), blocks)
+
+
+_PURE = "regexp_replace(coalesce({0}, ''), '[\\s\\p{{Z}}\\x{{85}}\\x{{b}}\\p{{Nd}}.．()]+', '', 'g')"
+
+
+@query(f"SELECT doc, no, CASE WHEN len(regexp_extract_all(s, '[一-鿿]')) >= 8 THEN s END AS stem, CASE WHEN n >= 4 THEN n END AS options FROM (SELECT {paper()} AS doc, CAST(no AS INT) AS no, {_PURE.format('stem')} AS s, CAST(len(list_filter(map_keys(options), lambda k: k IN ('A', 'B', 'C', 'D', 'E'))) AS INT) AS n, row_number() OVER (PARTITION BY {paper()}, no ORDER BY row_id) AS k FROM <q> q WHERE no IS NOT NULL AND {paper()} <> '') x WHERE k = 1 AND length(s) >= 8")
+def par07_items_by_position(t):
+    """Papers laid out as spans, a stem or an option each, and read back by position (PAR-7, PAR-8)."""
+    pure = lambda c: F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)[\s\d.．()]+", "")
+    q = t.q("no", "stem", "options").select(gates.paper_of(F.col("qid")).alias("doc"), "row_id", "no", pure(F.col("stem")).alias("s"), "options").where("no is not null and doc <> ''")
+    q = q.groupBy("doc", "no").agg(F.min_by(F.struct("s", "options"), "row_id").alias("r")).select("doc", "no", "r.*").where("length(s) >= 8")
+    lines = F.concat(F.array(F.concat(F.col("no").cast("string"), F.lit(". "), "s")), F.transform(F.filter(F.coalesce(F.map_entries("options"), F.array()), lambda e: e["key"].isin(*"ABCDE")), lambda e: F.concat(F.lit("("), e["key"], F.lit(") "), pure(e["value"]))))
+    spans = q.select("doc", F.col("no").alias("page"), F.posexplode(lines).alias("i", "text")).select("doc", "page", F.lit(50.0).alias("x0"), (60.0 + 18 * F.col("i")).alias("y0"), "text")
+    return parsing.items_by_position(spans).select("doc", "no", "stem", F.size("options").alias("options").try_cast("int")).select("doc", "no", "stem", F.when(F.col("options") > 0, F.col("options")).alias("options"))
+
+
+@query("SELECT row_id, concat_ws(',', no, no + 1, no + 2, no + 3) AS numbers FROM bank WHERE no IS NOT NULL AND row_id % 2 = 0 UNION ALL SELECT row_id, concat_ws(',', no, no + 1, no + 2, no + 3) FROM bank WHERE no IS NOT NULL AND row_id % 2 = 1")
+def par17_unrotated_numbers(t):
+    """Numbers of options, moved up by one in every second row, moved back."""
+    n = [(F.col("no") + i).cast("string") for i in range(4)]
+    numbers = F.when(F.col("row_id") % 2 == 0, F.array(*n[1:], F.lit(""))).otherwise(F.array(*n))
+    back = parsing.unrotated(F.when(F.col("row_id") % 2 == 0, n[0]).otherwise(F.lit("")), numbers, F.array(*n))
+    return t.bank.where("no is not null").select("row_id", F.array_join(back, ",").alias("numbers"))
+
+
+@query(f"SELECT row_id, sha256({squeeze('stem')}) AS h FROM bank WHERE stem IS NOT NULL AND passage IS NOT NULL AND length({squeeze('passage')}) > 0")
+def par18_cut_pools(t):
+    """Stems with a table's characters, here the passage's in another order, behind them, cut again."""
+    stem, pool = tx.squeeze(F.col("stem")), tx.squeeze(F.col("passage"))
+    b = t.bank.where("stem is not null and passage is not null").select("row_id", stem.alias("s"), pool.alias("p")).where("length(p) > 0")
+    return b.select("row_id", F.sha2(parsing.cut_pool_col(F.concat("s", F.reverse("p")), F.col("p")), 256).alias("h"))
+
+
+@query("SELECT doc_id AS id, CAST(length(text) - length(replace(text, '的', '')) AS INT) AS unknown FROM documents WHERE text IS NOT NULL AND source IS NOT NULL")
+def nrm21_glyphs(t):
+    """Private characters in place of two frequent ones, one of which the paper's map knows; the other is kept and counted."""
+    d = t.documents.where("text is not null and source is not null").select(F.col("doc_id").alias("id"), F.col("source").alias("paper"), F.lit("F1").alias("font"), F.translate("text", "一的", "\ue001\ue002").alias("text"))
+    glyphs = t.documents.where("source is not null").select(F.col("source").alias("paper"), F.lit("F1").alias("font"), F.lit("\ue001").alias("seen"), F.lit("一").alias("true")).distinct()
+    return parsing.repair_glyphs(d, glyphs).select("id", "unknown")
+
+
+_PICKS = "SELECT qid, no, coalesce(group_id, qid) AS chain, row_number() OVER (ORDER BY sha256(qid), qid) AS pos FROM <q> q WHERE qid IS NOT NULL AND subject = '國文'"
+
+
+@query(f"SELECT qid, CAST(row_number() OVER (ORDER BY min_pos, no NULLS FIRST, qid) AS BIGINT) AS place FROM (SELECT *, min(pos) OVER (PARTITION BY chain) AS min_pos FROM ({_PICKS}) p) x")
+def drv12_chain_order(t):
+    """A drawn order of one subject's questions with the members of a chain gathered at the first one drawn, in their own order.
+
+    Places within cells of the hash; the chain's first place is its least hash.
+    """
+    from stemforge.operators.ranking import rank_within
+
+    q = t.q("no", "group_id", "subject").where("qid is not null and subject = '國文'").select("qid", "no", F.coalesce("group_id", "qid").alias("chain"), F.concat(F.sha2("qid", 256), "qid").alias("h"))
+    first = q.groupBy("chain").agg(F.min("h").alias("first"))
+    ranked = rank_within(q.join(first, "chain").withColumn("one", F.lit(1)), ["one"], F.substring("first", 1, 2), ["first", F.asc_nulls_first("no"), "qid"], "place")
+    return ranked.select("qid", "place")

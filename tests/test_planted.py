@@ -157,3 +157,31 @@ def test_parity_states(spark):
     assert len({r["prompt_sha"] for r in parity.record(t, F.col("t")).collect()}) == 3
 
 
+
+
+@pytest.mark.parametrize(("text", "pool", "want"), [("題幹。甲乙甲", "乙甲甲", "題幹。"), ("題幹甲", "乙甲", "題幹甲"), ("甲乙", "乙甲", ""), ("", "甲", ""), (None, "甲", None), ("甲", None, "甲")])
+def test_cut_pool(text, pool, want):
+    assert parsing.cut_pool(text, pool) == want
+
+
+def test_unrotated(spark):
+    df = spark.createDataFrame([(1, "3", ["4", "5", ""], ["3", "4", "5"]), (2, "3", ["4", "5", ""], ["4", "5", "9"]), (3, "", ["3", "4", "5"], ["3", "4", "5"]), (4, None, None, None)], "i int, tail string, n array<string>, src array<string>")
+    got = {r["i"]: r["r"] for r in df.select("i", parsing.unrotated(F.col("tail"), F.col("n"), F.col("src")).alias("r")).collect()}
+    assert got == {1: ["3", "4", "5"], 2: ["4", "5", ""], 3: ["3", "4", "5"], 4: None}
+
+
+def test_glyphs_mean_something_within_their_paper_and_font(spark):
+    texts = spark.createDataFrame([(1, "p", "f", "甲乙"), (2, "q", "f", "甲"), (3, "p", "g", ""), (4, "p", "f", None)], "id int, paper string, font string, text string")
+    glyphs = spark.createDataFrame([("p", "f", "", "α"), ("p", "f", "", "α"), ("q", "f", "", "β")], "paper string, font string, seen string, true string")
+    got = {r["id"]: (r["text"], r["unknown"]) for r in parsing.repair_glyphs(texts, glyphs).collect()}
+    assert got == {1: ("甲α乙", 1), 2: ("甲β", 0), 3: ("", 1), 4: (None, None)}
+    two = glyphs.unionByName(spark.createDataFrame([("p", "f", "", "γ")], glyphs.schema))
+    with pytest.raises(Exception, match="two meanings"):
+        parsing.repair_glyphs(texts, two).collect()
+
+
+def test_items_by_position(spark):
+    lines = ["頁首", "3. 下列何者為正確的敘述內容", "(A) 一 (B) 二", "(C) 三 (D) 四", "4. 短題目甲乙丙", "(A) 一"]
+    df = spark.createDataFrame([("d", 0, 50.0, float(i), x) for i, x in enumerate(lines)][::-1], "doc string, page int, x0 double, y0 double, text string")
+    got = {r["no"]: (r["stem"], r["options"]) for r in parsing.items_by_position(df).collect()}
+    assert got == {3: ("下列何者為正確的敘述內容", {"A": "一", "B": "二", "C": "三", "D": "四"}), 4: (None, None)}
