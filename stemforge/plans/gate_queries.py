@@ -13,6 +13,7 @@ from stemforge.functions.numerals import article_number, chinese_integer
 from stemforge.operators import gates, maintain
 from stemforge.operators.citations import citations, impacted, key_numbers_col, plain_name_col, verdicts
 from stemforge.operators.orphans import reference_key
+from stemforge.operators.ranking import rank_within
 from stemforge.operators.snapshots import latest_rows
 from stemforge.functions.lookalike import normal_form
 from stemforge.plans.change_queries import _KEY, ARTICLE_PARTS, ARTICLE_PLAIN, ARTICLE_SQL, NUMERAL_PART, p3_found, pack_articles, pack_changes
@@ -221,9 +222,9 @@ def numerals(spark, sf_dir):
     return tokens.groupBy("token").agg(F.count("*").alias("n")).select("token", "n", chinese_integer(F.col("token")).alias("value"))
 
 
-@query("win02_chain_stack", "SELECT qid, CAST(count(*) OVER (PARTITION BY group_id ORDER BY no, qid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT) AS before_n, coalesce(string_agg(qid, '|') OVER (PARTITION BY group_id ORDER BY no, qid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before FROM <q> q WHERE group_id IS NOT NULL")
+@query("win02_chain_stack", "SELECT qid, CAST(count(*) OVER (PARTITION BY group_id ORDER BY no, qid ROWS BETWEEN 9 PRECEDING AND 1 PRECEDING) AS BIGINT) AS before_n, coalesce(string_agg(qid, '|') OVER (PARTITION BY group_id ORDER BY no, qid ROWS BETWEEN 9 PRECEDING AND 1 PRECEDING), '') AS before FROM <q> q WHERE group_id IS NOT NULL")
 def chain_stack(spark, sf_dir):
-    w = Window.partitionBy("group_id").orderBy("no", "qid").rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.partitionBy("group_id").orderBy("no", "qid").rowsBetween(1 - gates.GROUP_SPAN, -1)  # a group has no more
     return questions(spark, sf_dir, "group_id", "no").where("group_id is not null").select("qid", F.count("*").over(w).alias("before_n"), F.array_join(F.collect_list("qid").over(w), "|").alias("before"))
 
 
@@ -282,10 +283,11 @@ def content_fingerprint(spark, sf_dir):
 
 @query("agg23_token_conservation", "SELECT a.expl_id, CAST(len(list_filter(list_distinct(regexp_extract_all(a.t, '[0-9]+')), lambda x: NOT list_contains(regexp_extract_all(b.t, '[0-9]+'), x))) AS BIGINT) AS lost, CAST(len(list_filter(list_distinct(regexp_extract_all(b.t, '[0-9]+')), lambda x: NOT list_contains(regexp_extract_all(a.t, '[0-9]+'), x))) AS BIGINT) AS added FROM (SELECT *, lead(expl_id) OVER (PARTITION BY qid ORDER BY merged_at, expl_id) AS nxt FROM {explanations} WHERE t IS NOT NULL AND qid IS NOT NULL) a JOIN {explanations} b ON a.nxt = b.expl_id")
 def token_conservation(spark, sf_dir):
-    """Numbers that a text's next version lost or added."""
-    w = Window.partitionBy("qid").orderBy("merged_at", "expl_id")
-    e = table(spark, sf_dir, "explanations").where("t is not null and qid is not null").select("expl_id", "t", F.lead("t").over(w).alias("u")).where("u is not null")
-    old, new = F.regexp_extract_all("t", F.lit("([0-9]+)"), 1), F.regexp_extract_all("u", F.lit("([0-9]+)"), 1)
+    """Numbers that a text's next version lost or added. Versions are numbered in cells of months and meet by number, so one qid may have any share of the rows."""
+    e = table(spark, sf_dir, "explanations").where("t is not null and qid is not null").select("expl_id", "qid", "merged_at", F.regexp_extract_all("t", F.lit("([0-9]+)"), 1).alias("numbers"))
+    k = rank_within(e, ["qid"], F.trunc("merged_at", "month"), [F.asc_nulls_first("merged_at"), "expl_id"], "k")
+    e = k.select("expl_id", "qid", "k", F.col("numbers").alias("t")).join(k.select("qid", (F.col("k") - 1).alias("k"), F.col("numbers").alias("u")), ["qid", "k"])
+    old, new = F.col("t"), F.col("u")
     return e.select("expl_id", F.size(F.array_except(old, new)).cast("bigint").alias("lost"), F.size(F.array_except(new, old)).cast("bigint").alias("added"))
 
 

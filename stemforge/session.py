@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_MADE: list[str] = []
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -27,8 +30,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
-    """A new folder for tables of this run within the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder for tables of this run within the shared folder, until ``clean``."""
+    _MADE.append(f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _MADE[-1]
+
+
+def clean(spark: SparkSession) -> int:
+    """Delete the folders that this process made by ``fresh_dir``, once their results are written; how many there were. (Checkpoints go with ``spark.cleaner.referenceTracking.cleanCheckpoints``.)"""
+    n = 0
+    while _MADE:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        n += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return n
 
 
 def cut(df: DataFrame, eager: bool = True) -> DataFrame:

@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from stemforge import session
 from stemforge.operators import gates, maintain
 from stemforge.operators.blocks import expand_pairs, grouped_pairs
 from stemforge.operators.citations import citations, key_numbers, key_numbers_col, normalize_numerals, numeral_value, verdicts
@@ -219,3 +220,21 @@ def test_verdicts(spark):
     arts = spark.createDataFrame([("採石法", "1", "應於三十日內"), ("水井法", "1", "")], "law string, art string, t string").select("law", "art", key_numbers_col(F.col("t")).alias("numbers"))
     got = {r["id"]: (r["status"], r["note"]) for r in verdicts(df, arts).collect()}
     assert got == {0: ("ok", ""), 1: ("flag", "40日"), 2: ("fail", "article"), 3: ("historical", "article"), 4: ("fail", "article"), 5: ("fail", "law")}
+
+
+def test_shared_folder(spark):
+    df = session.stored(spark.range(3), "t")
+    assert df.count() == 3 and session.clean(spark) >= 1 and session.clean(spark) == 0
+    small, large = session.broadcast_below(spark.range(3), 3), session.broadcast_below(spark.range(4), 3)
+    hint = lambda d: "Hint" in d._jdf.queryExecution().logical().toString()
+    assert hint(small) and not hint(large)
+
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda name, default=None: default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(Cluster)
