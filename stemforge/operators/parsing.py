@@ -146,6 +146,20 @@ def leaked_confidence(text: Column) -> Column:
     return F.filter(F.split(text, "(?<=[。！？])"), lambda s: s.rlike("(?:信心|把握|可信度)[^。！？]{0,6}(?:高|中|低|不足|有限)[^。！？]{0,4}[。！？]$"))
 
 
+def option_collapse(options: Column) -> Column:
+    """Signs that option texts lost their circled marks: ``within_dup`` one mark twice in an option, ``cross_iden`` two options with marks alike in order, ``marker_residual`` a private character at an option's head.
+
+    Ordering questions (several options without repeated marks, all of the same marks, in at least two orders) are only looked at for the last.
+    """
+    values = F.transform(F.coalesce(F.map_values(options), F.array().cast("array<string>")), lambda o: F.coalesce(o, F.lit("")))
+    marks = F.filter(F.transform(values, lambda o: F.regexp_extract_all(o, F.lit("([①-⑳])"), F.lit(1))), lambda m: F.size(m) > 0)
+    plain = F.transform(F.filter(values, lambda o: o.rlike("[①-⑳]")), lambda o: F.regexp_replace(o, r"(?U)[\s僅]+", ""))
+    once = F.forall(marks, lambda m: F.size(F.array_distinct(m)) == F.size(m))
+    ordering = (F.size(marks) >= 2) & once & (F.size(F.array_distinct(F.transform(marks, lambda m: F.array_sort(m)))) == 1) & (F.size(F.array_distinct(marks)) >= 2)
+    rules = (("within_dup", ~once & ~ordering), ("cross_iden", (F.size(F.array_distinct(plain)) < F.size(plain)) & ~ordering), ("marker_residual", F.exists(values, lambda o: o.rlike("^[\ue000-\uf8ff]"))))
+    return F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in rules]))
+
+
 def bleeds(options: Column, following: Column, least: int = 20) -> Column:
     """Letters of options that contain the next question's beginning, of at least ``least`` characters."""
     start = F.substring(F.regexp_replace(following, r"(?U)\s+", ""), 1, least)

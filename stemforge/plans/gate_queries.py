@@ -182,9 +182,10 @@ def illegal_letters(spark, sf_dir):
     return q.where(F.size(F.array_except(tx.answer_letters(F.col("answer")), F.map_keys("options"))) > 0).select("qid", "answer")
 
 
-@query("prd18_marks_in_order", "SELECT row_id FROM {bank} WHERE options IS NOT NULL AND cardinality(options) > 0 AND array_to_string(list_sort(map_keys(options)), '') <> substr('ABCDEFGHIJ', 1, CAST(cardinality(options) AS INT))")
+@query("prd18_marks_in_order", "SELECT row_id FROM {bank} WHERE options IS NOT NULL AND cardinality(options) > 0 AND array_to_string(map_keys(options), '') <> substr('ABCDEFGHIJ', 1, CAST(cardinality(options) AS INT))")
 def marks_in_order(spark, sf_dir):
-    return table(spark, sf_dir, "bank").where("size(options) > 0").where(~tx.marks_in_order(F.array_sort(F.map_keys("options")))).select("row_id")
+    """Option marks in the order they are stored in."""
+    return table(spark, sf_dir, "bank").where("size(options) > 0").where(~tx.marks_in_order(F.map_keys("options"))).select("row_id")
 
 
 @query("prd21_long_options", "SELECT row_id, letter, CAST(length(text) AS INT) AS n FROM (SELECT row_id, unnest(map_keys(options)) AS letter, unnest(map_values(options)) AS text FROM {bank}) x WHERE length(text) > 200 OR trim(text) = ''")

@@ -236,3 +236,11 @@ def drv12_chain_order(t):
     first = q.groupBy("chain").agg(F.min("h").alias("first"))
     ranked = rank_within(q.join(first, "chain").withColumn("one", F.lit(1)), ["one"], F.substring("first", 1, 2), ["first", F.asc_nulls_first("no"), "qid"], "place")
     return ranked.select("qid", "place")
+
+
+_MARKED = "SELECT row_id, list_filter(list_transform(map_values(options), lambda o: regexp_extract_all(coalesce(o, ''), '[①-⑳]')), lambda m: len(m) > 0) AS m, list_transform(list_filter(map_values(options), lambda o: regexp_matches(coalesce(o, ''), '[①-⑳]')), lambda o: regexp_replace(o, '[\\s\\p{Z}僅]+', '', 'g')) AS p, len(list_filter(map_values(options), lambda o: regexp_matches(coalesce(o, ''), '^[\\x{e000}-\\x{f8ff}]'))) > 0 AS residual FROM bank WHERE options IS NOT NULL"
+
+
+@query(f"SELECT row_id, concat_ws(',', CASE WHEN dup THEN 'within_dup' END, CASE WHEN iden AND NOT (NOT dup AND len(m) >= 2 AND len(list_distinct(list_transform(m, lambda x: list_sort(x)))) = 1 AND len(list_distinct(m)) >= 2) THEN 'cross_iden' END, CASE WHEN residual THEN 'marker_residual' END) AS signs FROM (SELECT *, len(list_filter(m, lambda x: len(list_distinct(x)) < len(x))) > 0 AS dup, len(list_distinct(p)) < len(p) AS iden FROM ({_MARKED}) x) y WHERE dup OR (iden AND NOT (len(m) >= 2 AND len(list_distinct(list_transform(m, lambda x: list_sort(x)))) = 1 AND len(list_distinct(m)) >= 2)) OR residual")
+def prd14_option_collapse(t):
+    return t.bank.where("options is not null").select("row_id", F.array_join(parsing.option_collapse(F.col("options")), ",").alias("signs")).where("signs <> ''")

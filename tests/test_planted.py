@@ -32,6 +32,9 @@ def bank_rows():
         {"stem": None, "options": None, "answer": "ＡＣ", "accept": ["A", "C"]},
         {"stem": "", "options": {}, "answer": "／"},
         {"stem": "改後？", "options": {"A": "甲"}, "no": 13},
+        {"stem": "組合？", "options": {"A": "僅①②", "B": "① ②", "C": "①③①"}, "no": 15},
+        {"stem": "排序？", "options": {"A": "①②③", "B": "①③②", "C": "③②①", "D": "\ue010甲"}, "no": 16},
+        {"stem": "排序？", "options": {"A": "①②", "B": "②①", "C": "②①"}, "no": 17},
     ]
     out = []
     for i, k in enumerate(kinds):
@@ -57,7 +60,7 @@ def planted(spark, tmp_path_factory):
 NAMES = [
     "prd07_anomalous_signs", "prd11_boilerplate", "prd12_leaked_confidence", "prd13_half_marks", "prd14_equal_options", "prd15_repeated_marks", "prd17_text_after_mark", "prd18_marks_in_order", "prd19_quote_balance",
     "prd20_option_bleed", "prd22_orphan_units", "prd24_option_furniture", "drv22_digit_tails", "join04_number_gaps", "join20_name_suffixes", "dup05_shared_files", "nrm08_full_width_marks", "nrm19_safe_names", "prd10_conclusion",
-    "prd08_structure", "par09_question_types", "agg03_paper_completeness", "nrm07_answer_width", "join09_figure_both_ways", "par12_answer_remarks", "drv09_recheck", "set07_unregistered_keys",
+    "prd08_structure", "par09_question_types", "agg03_paper_completeness", "nrm07_answer_width", "join09_figure_both_ways", "par12_answer_remarks", "drv09_recheck", "prd14_option_collapse", "set07_unregistered_keys",
 ]
 
 
