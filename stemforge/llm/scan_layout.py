@@ -109,18 +109,22 @@ def cut_inline(line: str, furniture: Furniture) -> tuple[str, list[str]]:
         start.append(start[-1] + len(x))
     whole = "".join(plain)
     found, out, i = [], "", 0
+    idle: set[int] = set()  # places within runs that hold nothing to cut, so that each run is walked once
     fits = lambda a, b: b > a and INLINE.search(whole, start[a], start[b]) is not None and furniture.fullmatch(whole[start[a] : start[b]])
     while i < len(parts):
         end = 0
-        if i % 2 == 0 and parts[i] and (len(parts[i]) == 1 or furniture.fullmatch(plain[i])):
+        if i % 2 == 0 and parts[i] and start[i] not in idle and (len(parts[i]) == 1 or furniture.fullmatch(plain[i])):
             ends = furniture.ends(whole, start[i])
-            j, cands = i + 1, []
-            while j <= len(parts) and start[j] <= max(ends, default=0):
+            j, cands, last = i + 1, [], max(ends, default=0)
+            while j <= len(parts) and start[j] <= last:
                 if j % 2 == 1 and start[j] in ends:
                     cands.append(j)
                 j += 1
-            end = next((j for j in reversed(cands) if INLINE.search(whole, start[i], start[j])), 0)
-            while end and end - i > 2 and _NUMBER.fullmatch(parts[end - 1]) and fits(i, end - 2):
+            held = INLINE.search(whole, start[i], start[cands[-1]]) if cands else None  # what the longest run lacks, shorter ones lack too
+            end = cands[-1] if held else 0
+            if not end:
+                idle |= ends
+            while end and end - i > 2 and _NUMBER.fullmatch(parts[end - 1]) and start[end - 2] in ends and (start[end - 2] >= held.end() or INLINE.search(whole, start[i], start[end - 2])):
                 end -= 2
             if end and _NUMBER.fullmatch(parts[i]) and re.match(NUM, parts[min(i + 2, len(parts) - 1)]) and fits(i + 2, end):
                 end = 0

@@ -142,6 +142,8 @@ def test_long_headers_and_long_words():
     line = "國文考科　第 1 頁　共 9 頁　" * 50
     assert parse(line + "\n甲。", FURNITURE).lines == ["甲。"]
     assert parse("1" * 5_000 + "甲", FURNITURE).lines == ["1" * 5_000 + "甲"]
+    many = "1 " * 20_000 + "考科x"
+    assert parse(many, FURNITURE).lines == [many]
     reader = Reader(count_texts([]), Channel({}))
     assert reader.read("l" * 50_000)[0] == "l" * 50_000
 
