@@ -346,11 +346,10 @@ class Reader:
 
     def single(self, text: str) -> tuple[str, int]:
         """A letter alone where the text's contexts have numbers: between characters that mostly stand beside digits."""
-        n = 0
+        n, pad = 0, folded(text)
 
         def fix(m: re.Match) -> str:
             nonlocal n
-            pad = "\n\n" + re.sub("[0-9]", "0", text) + "\n\n"
             l, r = pad[m.start() : m.start() + 2], pad[m.end() + 2 : m.end() + 4]
             letter, digit = self._windows(l, m[0], r), self._windows(l, "0", r)
             if sum(digit) > 8 * sum(letter):

@@ -159,33 +159,36 @@ def parse(text: str, furniture: Furniture) -> Parsed:
 
 
 _LETTER = r"A-Za-zÀ-ſ"
+#: Characters at the end of a text that decide how it goes on.
+TAIL = 256
 
 
 def seams(lines: list[str], known) -> tuple[str, set[str]]:
     """The continuous text of the lines, and the kinds of seams in it. known(word) is how often a word occurs within lines."""
     if not lines:
         return "", set()
-    text, kinds = lines[0], set()
-    listed = bool(LIST_ITEM.match(text))
+    # What is decided depends on the end of the text so far, so long texts are joined in linear time.
+    pieces, tail, kinds = [lines[0]], lines[0][-TAIL:], set()
+    listed = bool(LIST_ITEM.match(lines[0]))
     for nxt in lines[1:]:
-        m = re.search(rf"([{_LETTER}0-9]+)([{re.escape(SPLIT_HYPHENS)}])$", text)
+        m = re.search(rf"([{_LETTER}0-9]+)([{re.escape(SPLIT_HYPHENS)}])$", tail)
         n = re.match(rf"[{_LETTER}0-9]+", nxt)
+        between = ""
         if m and n:
             hyphened, whole = f"{m[1]}-{n[0]}", m[1] + n[0]
             if m[2] in "-‐‑" and known(hyphened) > 3 * known(whole):
                 kinds.add("break")
-                text += nxt
             else:
                 kinds.add("hyphen")
-                text = text[:-1] + nxt
-        elif ENDS.search(text) and (LIST_ITEM.match(nxt) or listed):
-            text += "\n" + nxt
-        elif LIST_ITEM.match(nxt) and text.endswith((":", "：", "；", ";")):
-            text += "\n" + nxt
+                pieces[-1], tail = pieces[-1][:-1], tail[:-1]
+        elif ENDS.search(tail) and (LIST_ITEM.match(nxt) or listed) or LIST_ITEM.match(nxt) and tail.endswith((":", "：", "；", ";")):
+            between = "\n"
         else:
-            if not ENDS.search(text):
+            if not ENDS.search(tail):
                 kinds.add("break")
-            spaced = re.search(rf"[{_LETTER}0-9,;:.?!)]$", text) and re.match(rf"[{_LETTER}0-9(]", nxt) and re.search(rf"[{_LETTER}]", text[-12:] + nxt[:12])
-            text += (" " if spaced else "") + nxt
+            if re.search(rf"[{_LETTER}0-9,;:.?!)]$", tail) and re.match(rf"[{_LETTER}0-9(]", nxt) and re.search(rf"[{_LETTER}]", tail[-12:] + nxt[:12]):
+                between = " "
+        pieces += [between, nxt]
+        tail = (tail + between + nxt)[-TAIL:]
         listed = listed or bool(LIST_ITEM.match(nxt))
-    return text, kinds
+    return "".join(pieces), kinds

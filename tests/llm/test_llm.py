@@ -144,6 +144,7 @@ def test_long_headers_and_long_words():
     assert parse("1" * 5_000 + "甲", FURNITURE).lines == ["1" * 5_000 + "甲"]
     many = "1 " * 20_000 + "考科x"
     assert parse(many, FURNITURE).lines == [many]
+    assert len(seams(["甲乙丙"] * 50_000, lambda w: 0)[0]) == 150_000
     reader = Reader(count_texts([]), Channel({}))
     assert reader.read("l" * 50_000)[0] == "l" * 50_000
 
